@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import chat, contamination, langid, quality, tiff
+from textmill.llm import chat, contamination, langid, packing, quality, tiff, tokencount
 from textmill.llm.util import documents
 
 
@@ -13,6 +13,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.edited_counts(documents(spark, sf_dir))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -21,6 +25,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(documents(spark, sf_dir))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
 def op6_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = tiff.read_media(tiff.to_media(documents(spark, sf_dir)))
     payload = F.expr("aggregate(pages, cast('' as binary), (a, x) -> concat(a, x.samples))")
@@ -39,7 +47,7 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_decontamination, op3_quality, op4_language, op6_tiff, op7_chat)}
+    return {f.__name__: f for f in (op1_decontamination, op2_token_counts, op3_quality, op4_language, op5_packing, op6_tiff, op7_chat)}
 
 
 _WORDS = "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
