@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import chat, contamination, langid, packing, quality, tiff, tokencount
+from textmill.llm import chat, contamination, langid, packing, quality, simhash, tiff, tokencount
 from textmill.llm.util import documents
 
 
@@ -46,8 +46,12 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(documents(spark, sf_dir))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_decontamination, op2_token_counts, op3_quality, op4_language, op5_packing, op6_tiff, op7_chat)}
+    return {f.__name__: f for f in (op1_decontamination, op2_token_counts, op3_quality, op4_language, op5_packing, op6_tiff, op7_chat, op9_simhash)}
 
 
 _WORDS = "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
