@@ -132,14 +132,17 @@ def flags_of(doc: np.ndarray, tie: np.ndarray, lo: np.ndarray, hi: np.ndarray) -
     doc, tie, lo, hi = doc[order], tie[order], lo[order].astype(np.int64), hi[order].astype(np.int64)
     if not len(doc):
         return
-    other = np.append(True, (doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1]))
-    apart = other | np.append(True, lo[1:] > hi[:-1] + 1)
+    apart = np.append(True, (doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1]) | (lo[1:] > hi[:-1] + 1))
     at = np.flatnonzero(apart)
     end = np.maximum.reduceat(hi, at)
-    doc, tie, lo, other = doc[at], tie[at], lo[at], other[at]
-    row = np.flatnonzero(other)
-    cut = np.append(row[1:], len(doc)).tolist()
-    yield pa.RecordBatch.from_pydict({"doc": pa.array(doc[row]), "tie": pa.array(tie[row])} | packed(lo=[lo[a:b].astype("<u4").tobytes() for a, b in zip(row.tolist(), cut, strict=True)], hi=[end[a:b].astype("<u4").tobytes() for a, b in zip(row.tolist(), cut, strict=True)]))
+    yield pa.RecordBatch.from_pydict({"doc": pa.array(doc[at]), "tie": pa.array(tie[at]), "lo": pa.array(lo[at].astype(np.int32)), "hi": pa.array(end.astype(np.int32))})
+
+
+def lists(column: pa.Array) -> Iterator[np.ndarray]:
+    """The rows of a column of lists of int, as arrays; null rows are empty."""
+    cut, flat = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    for k, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)):
+        yield flat[a:b] if column[k].is_valid else flat[:0]
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -149,9 +152,21 @@ def keyed(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.coalesce("doc_id", F.lit(LOWEST)).alias("doc"), F.xxhash64("body").alias("tie"), "body")
 
 
+def told(**columns: np.ndarray) -> pa.RecordBatch:
+    """A batch of repeated_anchors; columns that aren't given are null."""
+    size = len(next(iter(columns.values())))
+    kinds = {"doc": pa.int64(), "tie": pa.int64(), "pos": pa.int32(), "h": pa.int64(), "n": pa.int64()}
+    return pa.RecordBatch.from_pydict({k: pa.array(columns[k].astype(t.to_pandas_dtype())) if k in columns else pa.nulls(size, t) for k, t in kinds.items()})
+
+
+def dealt(rows: DataFrame, parts: int) -> DataFrame:
+    """Each bucket of 0 to parts - 1 in a partition of its own."""
+    return rows.repartitionById(parts, F.col("bucket"))
+
+
 def repeated_anchors(rows: DataFrame) -> DataFrame:
-    """bucket, h, n, doc, tie, pos: with h, hot anchors and their counts (bucket -1: the number of all); without,
-    one document's anchors that occur more than once in the corpus."""
+    """doc, tie, pos, h, n: rows with pos are anchors that occur more than once in the corpus; rows with n give a
+    hot anchor's count, or without h the number of all anchors in a partition."""
     parts = partitions(rows.sparkSession)
     names = ("h", "n", "doc", "tie", "pos")
 
@@ -163,10 +178,10 @@ def repeated_anchors(rows: DataFrame) -> DataFrame:
             pos = np.concatenate([np.zeros(0, np.int64), *[g[1] for g in got]]).astype("<u4")
             of = np.repeat(np.arange(len(got)), [len(g[0]) for g in got])
             _, first, back, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
-            out = Rows(*names)
-            for k, part in split_by(of[n[back] > 1]):
-                out.add(int(doc[k]) % (4 * parts), doc=doc[k : k + 1], tie=tie[k : k + 1], pos=pos[n[back] > 1][part])
-            bucket = (h[first] % np.uint64(4 * parts)).astype(np.int64)
+            out, more = Rows(*names), np.flatnonzero(n[back] > 1)
+            if len(more):
+                out.add(int(h[more[0]] % np.uint64(parts)), doc=doc[of[more]], tie=tie[of[more]], pos=pos[more])
+            bucket = (h[first] % np.uint64(parts)).astype(np.int64)
             for k, part in split_by(bucket):
                 i = first[part]
                 out.add(k, h=h[i], n=n[part].astype("<u4"), doc=doc[of[i]], tie=tie[of[i]], pos=pos[i])
@@ -174,28 +189,23 @@ def repeated_anchors(rows: DataFrame) -> DataFrame:
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x, rest = gathered(batches, {"h": "<u8", "n": "<u4"} | PLACES, "h")
-        out = Rows(*names)
         for r in rest:
-            out.add(r["bucket"], **{k: r[k] for k in names})
-        _, back, n = np.unique(x["h"], return_inverse=True, return_counts=True)
+            yield told(**{k: np.frombuffer(r[k], kind) for k, kind in PLACES.items()})
+        one, back, n = np.unique(x["h"], return_inverse=True, return_counts=True)
         total = np.bincount(back, x["n"], len(n)).astype(np.int64)
         want = (n[back] > 1) & (x["n"] == 1)  # those of 2 and more have told their batch
-        i = np.flatnonzero(want)
-        i = i[np.lexsort((x["pos"][i], x["tie"][i], x["doc"][i]))]
-        new = np.append(True, (x["doc"][i][1:] != x["doc"][i][:-1]) | (x["tie"][i][1:] != x["tie"][i][:-1])) if len(i) else np.zeros(0, bool)
-        for part in np.split(i, np.flatnonzero(new)[1:]) if len(i) else ():
-            out.add(0, doc=x["doc"][part[:1]], tie=x["tie"][part[:1]], pos=x["pos"][part])
+        yield told(**{k: x[k][want] for k in PLACES})
         hot = total >= HOT
-        out.add(0, h=np.unique(x["h"])[hot], n=total[hot])
-        out.add(-1, h=b"", n=np.array([total.sum()], "<i8"))
-        yield out.batch()
+        yield told(h=one[hot].view(np.int64), n=total[hot])
+        yield told(n=np.array([total.sum()], np.int64))
 
     schema = Rows.schema(*names)
-    return rows.select("doc", "tie", "body").mapInArrow(find, schema).repartition(parts, "bucket").mapInArrow(meet, schema)
+    rows = dealt(rows.select("doc", "tie", "body").mapInArrow(find, schema), parts)
+    return rows.mapInArrow(meet, "doc long, tie long, pos int, h long, n long")
 
 
 def repeats(rows: DataFrame, hot: np.ndarray) -> DataFrame:
-    """rows(doc, tie, body, at: lists of anchor positions) -> doc, tie, lo, hi: ranges of repeated windows."""
+    """rows(doc, tie, body, at: anchor positions) -> doc, tie, lo, hi: ranges of repeated windows."""
     parts = partitions(rows.sparkSession)
     names = ("kind", "h", "g", "text", "doc", "tie", "pos", "hi")
     held = rows.sparkSession.sparkContext.broadcast(np.sort(hot))
@@ -204,9 +214,9 @@ def repeats(rows: DataFrame, hot: np.ndarray) -> DataFrame:
         hot = held.value
         for b in batches:
             found = []
-            for doc, tie, body, at in zip(*(b.column(c).to_pylist() for c in ("doc", "tie", "body", "at")), strict=True):
+            for doc, tie, body, at in zip(*(b.column(c).to_pylist() for c in ("doc", "tie", "body")), lists(b.column("at")), strict=True):
                 h, pos, lo, hi = anchors(body)
-                keep = np.isin(pos, np.frombuffer(b"".join(at), "<u4"))
+                keep = np.isin(pos, at)
                 found += [(doc, tie, int(a), int(z), int(k), body[a : z + WIDTH]) for k, a, z in zip(h[keep], lo[keep], hi[keep], strict=True)]
             found.sort(key=lambda x: x[:3])
             first: dict[bytes, tuple] = {}
@@ -214,22 +224,22 @@ def repeats(rows: DataFrame, hot: np.ndarray) -> DataFrame:
             for x in found:
                 if first.setdefault(x[5], x)[:3] != x[:3]:
                     late.append(x[:4])
-            for _, part in split_by(np.array([x[0] % (4 * parts) for x in late], np.int64)):
-                a = np.array([late[i] for i in part.tolist()], np.int64)
-                out.add(int(a[0, 0] % (4 * parts)), kind=b"late", doc=a[:, 0], tie=a[:, 1], pos=a[:, 2].astype("<u4"), hi=a[:, 3].astype("<u4"))
+            if late:
+                a = np.array(late, np.int64)
+                out.add(int(a[0, 1] % parts), kind=b"late", doc=a[:, 0], tie=a[:, 1], pos=a[:, 2].astype("<u4"), hi=a[:, 3].astype("<u4"))
             own = list(first.values())
             h = np.array([x[4] for x in own], np.uint64)
             a = np.array([x[:4] for x in own], np.int64).reshape(-1, 4)
             warm = np.isin(h, hot)
             cold = np.flatnonzero(~warm)
-            for k, part in split_by((mixed(h[cold]) % np.uint64(4 * parts)).astype(np.int64)):
+            for k, part in split_by((mixed(h[cold]) % np.uint64(parts)).astype(np.int64)):
                 i = cold[part]
                 out.add(k, kind=b"text", h=h[i], text=b"".join(own[j][5] for j in i.tolist()), doc=a[i, 0], tie=a[i, 1], pos=a[i, 2].astype("<u4"), hi=a[i, 3].astype("<u4"))
             digest = xxhash.xxh3_128_digest
             wins = [(j, s) for j in np.flatnonzero(warm).tolist() for s in range(len(own[j][5]) - WIDTH + 1)]
             f = np.frombuffer(b"".join(digest(own[j][5][s : s + WIDTH]) for j, s in wins), "<u8").reshape(-1, 2)
             w = np.array(wins, np.int64).reshape(-1, 2)
-            for k, part in split_by((f[:, 0] % np.uint64(4 * parts)).astype(np.int64)):
+            for k, part in split_by((f[:, 0] % np.uint64(parts)).astype(np.int64)):
                 i = w[part, 0]
                 out.add(k, kind=b"hash", h=f[part, 0], g=f[part, 1], doc=a[i, 0], tie=a[i, 1], pos=(a[i, 2] + w[part, 1]).astype("<u4"))
             yield out.batch()
@@ -250,7 +260,7 @@ def repeats(rows: DataFrame, hot: np.ndarray) -> DataFrame:
         d, t, p = place(b"text")
         yield from windows(whole(b"text", "text", np.uint8), whole(b"text", "h", "<u8"), d, t, p.astype(np.int64), whole(b"text", "hi", "<u4").astype(np.int64))
 
-    return rows.mapInArrow(spread, Rows.schema(*names)).repartition(parts, "bucket").mapInArrow(meet, "doc long, tie long, lo binary, hi binary")
+    return dealt(rows.mapInArrow(spread, Rows.schema(*names)), parts).mapInArrow(meet, "doc long, tie long, lo int, hi int")
 
 
 def windows(text: np.ndarray, h: np.ndarray, doc: np.ndarray, tie: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -296,35 +306,21 @@ def without_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """
     rows = keyed(docs)
     found = stored(repeated_anchors(rows), "anchors")
-    total, hot = 0, []
-    for r in found.where("h is not null and (bucket = -1 or length(h) > 0)").select("bucket", "h", "n").toLocalIterator():
-        n = np.frombuffer(r["n"], "<i8")
-        if r["bucket"] == -1:
-            total += int(n.sum())
-        else:
-            hot.append((np.frombuffer(r["h"], "<u8"), n))
-    hot = np.concatenate([np.zeros(0, np.uint64), *[h[n >= max(HOT, HOT_SHARE * total)] for h, n in hot]])
-
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            d, t = (np.frombuffer(b"".join(b.column(c).to_pylist()), "<i8") for c in ("doc", "tie"))
-            yield pa.RecordBatch.from_pydict({"doc": pa.array(d), "tie": pa.array(t), "pos": b.column("pos")})
-
-    at = found.where("h is null").select("doc", "tie", "pos").mapInArrow(places, "doc long, tie long, pos binary")
-    at = at.groupBy("doc", "tie").agg(F.collect_list("pos").alias("at"))
+    total = found.where("n is not null and h is null").agg(F.sum("n")).first()[0] or 0
+    hot = found.where(F.col("h").isNotNull() & (F.col("n") >= max(HOT, HOT_SHARE * total))).select("h").toPandas()["h"].to_numpy().astype(np.int64).view(np.uint64)
+    at = found.where("pos is not null").groupBy("doc", "tie").agg(F.collect_list("pos").alias("at"))
     flags = repeats(rows.select("doc", "tie", "body").join(at.hint("shuffle_hash"), ["doc", "tie"]), hot)
     flags = stored(flags, "repeats").groupBy("doc", "tie").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             size, gone, spans, sha, kept = [], [], [], [], []
-            for body, lo, hi in zip(*(b.column(c).to_pylist() for c in ("body", "lo", "hi")), strict=True):
+            for body, lo, hi in zip(b.column("body").to_pylist(), lists(b.column("lo")), lists(b.column("hi")), strict=True):
                 mark = np.zeros(len(body) + 1, np.int32)
-                if lo:
-                    np.add.at(mark, np.frombuffer(b"".join(lo), "<u4"), 1)
-                    np.add.at(mark, np.frombuffer(b"".join(hi), "<u4").astype(np.int64) + WIDTH, -1)
+                np.add.at(mark, lo, 1)
+                np.add.at(mark, hi + WIDTH, -1)
                 covered = np.cumsum(mark)[:-1] > 0
-                left = np.frombuffer(body, np.uint8)[~covered].tobytes() if lo else body
+                left = np.frombuffer(body, np.uint8)[~covered].tobytes() if len(lo) else body
                 size.append(len(body))
                 gone.append(len(body) - len(left))
                 spans.append(int(np.count_nonzero(np.diff(covered.astype(np.int8), prepend=0) == 1)))
