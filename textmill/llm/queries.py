@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import chat, contamination, langid, packing, quality, simhash, suffixdedup, tiff, tokencount
+from textmill.llm import chat, contamination, langid, lm, packing, quality, simhash, suffixdedup, tiff, tokencount
 from textmill.llm.util import documents
 
 
@@ -54,8 +54,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(documents(spark, sf_dir))
 
 
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_corpus(documents(spark, sf_dir))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_decontamination, op2_token_counts, op3_quality, op4_language, op5_packing, op6_tiff, op7_chat, op8_suffix_dedup, op9_simhash)}
+    return {f.__name__: f for f in (op1_decontamination, op2_token_counts, op3_quality, op4_language, op5_packing, op6_tiff, op7_chat, op8_suffix_dedup, op9_simhash, op10_lm_scores)}
 
 
 _WORDS = "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
