@@ -51,7 +51,7 @@ def prefixed(docs: DataFrame, wins: DataFrame, few: bool) -> DataFrame:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_items: int = 2, block: int = 200_000) -> DataFrame:
     """One row per row of docs(doc_id, text): doc_id, n_words, n_hit (words inside an occurrence of any window),
-    n_items (items with an occurring window), items_sha256, contaminated (n_items >= min_items).
+    n_items (items with an occurring window), items_sha256, contaminated (n_items >= min_items), text_hash.
 
     Null and empty texts have no words and no hits; a null doc_id is kept; repeated rows each get a row; items
     with null id or text, or without words, match nothing; an empty benchmark gives zeros. Other columns are ignored.
@@ -62,19 +62,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_ite
     n = wins.count()
     keyed = stored(prefixed(docs, wins, n <= block), "windows")
     # The row's number keeps repeated ids apart; '' stands once at the end of each document, so that documents without hits have a row too.
-    base = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text")).alias("w"))
+    base = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_hash"), words_of(F.col("text")).alias("w"))
     end = docs.sparkSession.sql("select '' key, 0 off, 0 len, cast(array() as array<string>) win, cast(array() as array<string>) items")
     blocks = max(1, -(-n // block))
     parts = []
     for b in range(blocks):
         some = keyed.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == b) if blocks > 1 else keyed
-        each = base.select("rid", "doc_id", "w", F.posexplode(F.concat("w", F.array(F.lit("")))).alias("pos", "key"))
+        each = base.select("rid", "doc_id", "text_hash", "w", F.posexplode(F.concat("w", F.array(F.lit("")))).alias("pos", "key"))
         hits = each.join(F.broadcast(some.unionByName(end) if b == 0 else some), "key")
         hits = hits.where("pos >= off and pos - off + len <= size(w) and slice(w, pos - off + 1, len) = win")
-        parts.append(hits.select("rid", "doc_id", F.size("w").alias("n"), (F.col("pos") - F.col("off")).alias("start"), "len", "items"))
+        parts.append(hits.select("rid", "doc_id", "text_hash", F.size("w").alias("n"), (F.col("pos") - F.col("off")).alias("start"), "len", "items"))
     hits = reduce(DataFrame.unionByName, parts)
     span = F.when(F.col("len") > 0, F.struct("start", "len"))
-    per = hits.groupBy("rid").agg(F.first("doc_id").alias("doc_id"), F.max("n").alias("n"), F.array_sort(F.collect_list(span)).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    per = hits.groupBy("rid").agg(F.first("doc_id").alias("doc_id"), F.first("text_hash").alias("text_hash"), F.max("n").alias("n"), F.array_sort(F.collect_list(span)).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     covered = "aggregate(spans, struct(0L as n, 0L as till), (a, x) -> struct(a.n + greatest(0L, x.start + x.len - greatest(a.till, x.start)), greatest(a.till, cast(x.start + x.len as long))), a -> a.n)"
     return per.select(
         "doc_id",
@@ -83,4 +83,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_ite
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
         (F.size("items") >= min_items).alias("contaminated"),
+        "text_hash",
     )
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_items: int = 1) -> DataFrame:
+    """The rows of docs, with all their columns, that hold windows of fewer than min_items items."""
+    found = contamination(docs, benchmark, width, min_items).where("contaminated").select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("hit_id")) & (F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("hit_hash"))
+    return docs.join(found, same, "left_anti")

@@ -145,6 +145,19 @@ def predict(model: dict, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-s))
 
 
+def known_labels(labels: DataFrame, fit_rows: int) -> DataFrame:
+    """doc_id, y: at most fit_rows labelled rows outside the held-out fold, in hash order of their ids."""
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y")).where("doc_id is not null and y is not null")
+    return known.where(fold(F.col("doc_id"), 4) != 2).orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(fit_rows)
+
+
+def learned(rows: DataFrame, fit_rows: int = FIT_ROWS) -> dict:
+    """The model of rows(doc_id, y, x)."""
+    got = rows.select("doc_id", "y", "x").orderBy("doc_id", "y").limit(fit_rows).toPandas()
+    x = np.array(got["x"].tolist(), float).reshape(-1, len(FEATURES))
+    return fit(x, (got["y"].to_numpy() == 1).astype(float))
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, fit_rows: int = FIT_ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of docs(doc_id, text); labels(doc_id, quality).
 
@@ -152,11 +165,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     repeated rows each get a row; without labels the score is 0.5. Other columns are ignored.
     """
     rows = stored(feature_table(docs.select("doc_id", "text")), "features")
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y")).where("doc_id is not null and y is not null")
-    known = known.where(fold(F.col("doc_id"), 4) != 2).orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(fit_rows)
-    got = rows.join(F.broadcast(known), "doc_id").select("doc_id", "y", "x").orderBy("doc_id", "y").limit(fit_rows).toPandas()
-    x = np.array(got["x"].tolist(), float).reshape(-1, len(FEATURES))
-    held = docs.sparkSession.sparkContext.broadcast(fit(x, (got["y"].to_numpy() == 1).astype(float)))
+    held = docs.sparkSession.sparkContext.broadcast(learned(rows.join(F.broadcast(known_labels(labels, fit_rows)), "doc_id"), fit_rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -165,3 +174,17 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
 
     out = rows.mapInArrow(run, "doc_id long, score double")
     return out.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """The rows of docs, with all their columns, whose score is at least threshold; as score_quality, without a
+    shuffle of texts: features are taken of the labelled sample for the fit, and of each row as it is scored."""
+    sample = feature_table(docs.select("doc_id", "text").join(F.broadcast(known_labels(labels, fit_rows).select("doc_id").distinct()), "doc_id", "left_semi"))
+    held = docs.sparkSession.sparkContext.broadcast(learned(sample.join(F.broadcast(known_labels(labels, fit_rows)), "doc_id"), fit_rows))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = np.array([features((t or "").encode()) for t in b.column("text").to_pylist()], float).reshape(-1, len(FEATURES))
+            yield b.filter(pa.array(predict(held.value, x) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

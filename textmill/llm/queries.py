@@ -10,7 +10,7 @@ from textmill.llm.util import documents
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return contamination.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("text_hash")
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

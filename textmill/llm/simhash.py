@@ -194,3 +194,14 @@ def near_copies(docs: DataFrame) -> DataFrame:
     low = each.groupBy("root").agg(F.min("low").alias("component_id"))
     each = each.join(low, "root").join(degree, "fp", "left").select("fp", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     return rows.join(each, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_links")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, of each component's smallest doc_id; of repeated rows of it, one."""
+    kept = near_copies(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("n"))
+    kept = stored(kept, "kept")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id"))
+    out = docs.join(kept.where("n = 1"), same, "left_semi")
+    if kept.where("n > 1").limit(1).count():
+        out = out.unionByName(docs.join(kept.where("n > 1"), same, "left_semi").dropDuplicates(["doc_id"]))
+    return out

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm import suffixes
@@ -145,11 +145,11 @@ def lists(column: pa.Array) -> Iterator[np.ndarray]:
         yield flat[a:b] if column[k].is_valid else flat[:0]
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, *more: Column) -> DataFrame:
     bounded_batches(docs.sparkSession)
     body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body.alias("body"))
-    return rows.select("doc_id", F.coalesce("doc_id", F.lit(LOWEST)).alias("doc"), F.xxhash64("body").alias("tie"), "body")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body.alias("body"), *more)
+    return rows.withColumns({"doc": F.coalesce("doc_id", F.lit(LOWEST)), "tie": F.xxhash64("body")})
 
 
 def told(**columns: np.ndarray) -> pa.RecordBatch:
@@ -297,14 +297,15 @@ def windows(text: np.ndarray, h: np.ndarray, doc: np.ndarray, tie: np.ndarray, l
 
 def without_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row of docs(doc_id, text), and with with_text the
-    bytes that stay (kept).
+    bytes that stay (kept) and the row's other columns (a struct, row).
 
     A byte goes if a string of WIDTH bytes that covers it also starts earlier: in a document of smaller doc_id, or
     earlier in the same one. Null and empty texts have no bytes. A null doc_id counts as the smallest; rows that
     share a doc_id but not the text are ordered by a hash of the text; rows equal in both are one document, and
     each gets its result. Other columns are ignored; without rows there are none.
     """
-    rows = keyed(docs)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
+    rows = keyed(docs, row) if with_text else keyed(docs)
     found = stored(repeated_anchors(rows), "anchors")
     total = found.where("n is not null and h is null").agg(F.sum("n")).first()[0] or 0
     hot = found.where(F.col("h").isNotNull() & (F.col("n") >= max(HOT, HOT_SHARE * total))).select("h").toPandas()["h"].to_numpy().astype(np.int64).view(np.uint64)
@@ -327,8 +328,19 @@ def without_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
                 sha.append(hashlib.sha256(left).hexdigest())
                 kept.append(left)
             own = {"doc_id": b.column("doc_id"), "n_bytes": pa.array(size, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "n_spans": pa.array(spans, pa.int64()), "kept_sha256": pa.array(sha, pa.string())}
-            yield pa.RecordBatch.from_pydict(own | ({"tie": b.column("tie"), "kept": pa.array(kept, pa.binary())} if with_text else {}))
+            yield pa.RecordBatch.from_pydict(own | ({"kept": pa.array(kept, pa.binary()), "row": b.column("row")} if with_text else {}))
 
-    whole = rows.join(flags.hint("shuffle_hash"), ["doc", "tie"], "left").select("doc_id", "tie", "body", "lo", "hi")
+    whole = rows.join(flags.hint("shuffle_hash"), ["doc", "tie"], "left").select("doc_id", "body", "lo", "hi", *(["row"] if with_text else []))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return whole.mapInArrow(cut, schema + (", tie long, kept binary" if with_text else ""))
+    return whole.mapInArrow(cut, schema + (f", kept binary, row {rows.schema['row'].dataType.simpleString()}" if with_text else ""))
+
+
+def trimmed_documents(docs: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, without repeated bytes; texts of which nothing stays go. What a cut
+    leaves of a character goes too; n_chars, where there is one, is counted anew."""
+    out = without_repeats(docs, with_text=True).where("n_removed < n_bytes or n_bytes = 0")
+    text = F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("\ufffd"), F.lit(""))
+    text = F.when(F.is_valid_utf8(F.col("kept").cast("string")), F.col("kept").cast("string")).otherwise(text)
+    out = out.withColumn("text", text)
+    own = {"text": F.col("text"), "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
+    return out.select(*[(own[c] if c in own else F.col("row")[c]).alias(c) for c in docs.columns])
