@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,7 +113,7 @@ def gathered(batches: Iterator[pa.RecordBatch], kinds: dict[str, str], passed: s
     return {n: np.frombuffer(b"".join(parts[n]), kind) for n, kind in kinds.items()}, rest
 
 
-PLACES = {"doc": "<i8", "tie": "<i8", "pos": "<u4"}
+PLACES = {"doc": "<i8", "tie": "<u4", "pos": "<u4"}
 
 
 def firsts(group: np.ndarray, doc: np.ndarray, tie: np.ndarray, pos: np.ndarray) -> np.ndarray:
@@ -135,7 +136,7 @@ def flags_of(doc: np.ndarray, tie: np.ndarray, lo: np.ndarray, hi: np.ndarray) -
     apart = np.append(True, (doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1]) | (lo[1:] > hi[:-1] + 1))
     at = np.flatnonzero(apart)
     end = np.maximum.reduceat(hi, at)
-    yield pa.RecordBatch.from_pydict({"doc": pa.array(doc[at]), "tie": pa.array(tie[at]), "lo": pa.array(lo[at].astype(np.int32)), "hi": pa.array(end.astype(np.int32))})
+    yield pa.RecordBatch.from_pydict({"doc": pa.array(doc[at]), "tie": pa.array(tie[at].astype(np.int64)), "lo": pa.array(lo[at].astype(np.int32)), "hi": pa.array(end.astype(np.int32))})
 
 
 def lists(column: pa.Array) -> Iterator[np.ndarray]:
@@ -149,7 +150,7 @@ def keyed(docs: DataFrame, *more: Column) -> DataFrame:
     bounded_batches(docs.sparkSession)
     body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body.alias("body"), *more)
-    return rows.withColumns({"doc": F.coalesce("doc_id", F.lit(LOWEST)), "tie": F.xxhash64("body")})
+    return rows.withColumns({"doc": F.coalesce("doc_id", F.lit(LOWEST)), "tie": F.shiftrightunsigned(F.xxhash64("body"), 34)})
 
 
 def told(**columns: np.ndarray) -> pa.RecordBatch:
@@ -172,7 +173,7 @@ def repeated_anchors(rows: DataFrame) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            doc, tie = (b.column(c).to_numpy(zero_copy_only=False).astype("<i8") for c in ("doc", "tie"))
+            doc, tie = (b.column(c).to_numpy(zero_copy_only=False).astype(PLACES[c]) for c in ("doc", "tie"))
             got = [anchors(x)[:2] for x in b.column("body").to_pylist()]
             h = np.concatenate([np.zeros(0, np.uint64), *[g[0] for g in got]])
             pos = np.concatenate([np.zeros(0, np.int64), *[g[1] for g in got]]).astype("<u4")
@@ -211,7 +212,7 @@ def repeats(rows: DataFrame, hot: np.ndarray) -> DataFrame:
     held = rows.sparkSession.sparkContext.broadcast(np.sort(hot))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = held.value
+        hot, squeeze = held.value, zstandard.ZstdCompressor(level=3)
         for b in batches:
             found = []
             for doc, tie, body, at in zip(*(b.column(c).to_pylist() for c in ("doc", "tie", "body")), lists(b.column("at")), strict=True):
@@ -226,7 +227,7 @@ def repeats(rows: DataFrame, hot: np.ndarray) -> DataFrame:
                     late.append(x[:4])
             if late:
                 a = np.array(late, np.int64)
-                out.add(int(a[0, 1] % parts), kind=b"late", doc=a[:, 0], tie=a[:, 1], pos=a[:, 2].astype("<u4"), hi=a[:, 3].astype("<u4"))
+                out.add(int(a[0, 1] % parts), kind=b"late", doc=a[:, 0], tie=a[:, 1].astype("<u4"), pos=a[:, 2].astype("<u4"), hi=a[:, 3].astype("<u4"))
             own = list(first.values())
             h = np.array([x[4] for x in own], np.uint64)
             a = np.array([x[:4] for x in own], np.int64).reshape(-1, 4)
@@ -234,14 +235,15 @@ def repeats(rows: DataFrame, hot: np.ndarray) -> DataFrame:
             cold = np.flatnonzero(~warm)
             for k, part in split_by((mixed(h[cold]) % np.uint64(parts)).astype(np.int64)):
                 i = cold[part]
-                out.add(k, kind=b"text", h=h[i], text=b"".join(own[j][5] for j in i.tolist()), doc=a[i, 0], tie=a[i, 1], pos=a[i, 2].astype("<u4"), hi=a[i, 3].astype("<u4"))
+                i = i[np.argsort(h[i], kind="stable")]  # like texts together, for compression
+                out.add(k, kind=b"text", text=squeeze.compress(b"".join(own[j][5] for j in i.tolist())), doc=a[i, 0], tie=a[i, 1].astype("<u4"), pos=a[i, 2].astype("<u4"), hi=(a[i, 3] - a[i, 2]).astype("<u4"))
             digest = xxhash.xxh3_128_digest
             wins = [(j, s) for j in np.flatnonzero(warm).tolist() for s in range(len(own[j][5]) - WIDTH + 1)]
             f = np.frombuffer(b"".join(digest(own[j][5][s : s + WIDTH]) for j, s in wins), "<u8").reshape(-1, 2)
             w = np.array(wins, np.int64).reshape(-1, 2)
             for k, part in split_by((f[:, 0] % np.uint64(parts)).astype(np.int64)):
                 i = w[part, 0]
-                out.add(k, kind=b"hash", h=f[part, 0], g=f[part, 1], doc=a[i, 0], tie=a[i, 1], pos=(a[i, 2] + w[part, 1]).astype("<u4"))
+                out.add(k, kind=b"hash", h=f[part, 0], g=f[part, 1], doc=a[i, 0], tie=a[i, 1].astype("<u4"), pos=(a[i, 2] + w[part, 1]).astype("<u4"))
             yield out.batch()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,12 +260,26 @@ def repeats(rows: DataFrame, hot: np.ndarray) -> DataFrame:
         late = firsts(suffixes.dense(order, [h, g]), d, t, p)
         yield from flags_of(d[late], t[late], p[late], p[late])
         d, t, p = place(b"text")
-        yield from windows(whole(b"text", "text", np.uint8), whole(b"text", "h", "<u8"), d, t, p.astype(np.int64), whole(b"text", "hi", "<u4").astype(np.int64))
+        p, expand = p.astype(np.int64), zstandard.ZstdDecompressor()
+        text = np.frombuffer(b"".join(expand.decompress(r["text"]) for r in by[b"text"]), np.uint8)
+        yield from windows(text, d, t, p, p + whole(b"text", "hi", "<u4"))
 
     return dealt(rows.mapInArrow(spread, Rows.schema(*names)), parts).mapInArrow(meet, "doc long, tie long, lo int, hi int")
 
 
-def windows(text: np.ndarray, h: np.ndarray, doc: np.ndarray, tie: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> Iterator[pa.RecordBatch]:
+def least_gram(text: np.ndarray, off: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The least hash of a piece within each of the ranges, taken in parts of bounded size."""
+    out, at = np.zeros(len(off), np.uint64), 0
+    while at < len(off):
+        to = max(at + 1, int(np.searchsorted(end, off[at] + CHUNK, side="right")))
+        h = grams(text[off[at] : end[to - 1]])
+        edge = np.stack([off[at:to], end[at:to] - GRAM + 1], axis=1).ravel() - off[at]
+        out[at:to] = np.minimum.reduceat(np.append(h, np.uint64(2**64 - 1)), edge)[::2]
+        at = to
+    return out
+
+
+def windows(text: np.ndarray, doc: np.ndarray, tie: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Repeats among the contexts of a bucket, laid end to end in text."""
     size = hi - lo + WIDTH
     end = np.cumsum(size)
@@ -273,10 +289,11 @@ def windows(text: np.ndarray, h: np.ndarray, doc: np.ndarray, tie: np.ndarray, l
     same = np.array([number.setdefault(raw[a:b], len(number)) for a, b in zip(off.tolist(), end.tolist(), strict=True)], np.int64)
     late = firsts(same, doc, tie, lo)
     yield from flags_of(doc[late], tie[late], lo[late], hi[late])
-    # Of each distinct context its first place, where the anchor has other contexts.
+    # Of each distinct context its first place, where the anchor (its piece of least hash) has other contexts.
     i = np.flatnonzero(~late)
-    i = i[np.unique(same[i], return_index=True)[1]] if len(i) else i
-    _, back, n = np.unique(h[i], return_inverse=True, return_counts=True)
+    i = np.sort(i[np.unique(same[i], return_index=True)[1]]) if len(i) else i
+    h = least_gram(text, off[i], end[i])
+    _, back, n = np.unique(h, return_inverse=True, return_counts=True)
     i = i[n[back] > 1]
     if not len(i):
         return
