@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from textmill.config import Quality
-from textmill.functions.text import SPACE, strip, text_of, tokens, words
+from textmill.functions.text import SPACE, let, strip, text_of, tokens, words
 
 # The letters and frequent words of Turkish, and phrases of junk.
 LETTERS = "çğıöşüÇĞİÖŞÜ"
@@ -45,7 +45,10 @@ def share(hits: Column, all_: Column) -> Column:
 
 def language(c: Column) -> Column:
     """struct(confidence, code): tr, tr_ascii, tr_low, non_tr or unknown."""
-    t, w = text_of(c), words(c)
+    return let(words(c), lambda w: _language(text_of(c), w))
+
+
+def _language(t: Column, w: Column) -> Column:
     n = F.size(w)
     marks = F.regexp_count(t, F.lit(f"[{LETTERS}]"))
     common = F.array(*map(F.lit, COMMON))

@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from textmill.config import Cleaning
 
@@ -47,6 +48,11 @@ def text_of(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def let(c: Column, f) -> Column:
+    """f of the value of c, which is computed once however often f uses it."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, rf"\A{SPACE}+|{SPACE}+\z", "")
 
@@ -84,7 +90,7 @@ def drop_controls(c: Column) -> Column:
     return F.regexp_replace(text_of(c), r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _normal(text: pd.Series, form: pd.Series) -> pd.Series:
     return pd.Series([unicodedata.normalize(f, t) for t, f in zip(text, form, strict=True)])
 
@@ -103,7 +109,7 @@ def strip_html(c: Column) -> Column:
     return F.when(F.contains(t, F.lit("<")) & F.contains(t, F.lit(">")), x).otherwise(t)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _entities(text: pd.Series) -> pd.Series:
     return text.map(lambda t: html.unescape(t) if "&" in t else t)
 

@@ -34,15 +34,21 @@ def against_history(df: DataFrame, history: DataFrame) -> DataFrame:
     return df.join(history.select("norm_hash"), "norm_hash", "left_anti")
 
 
-def grams(c: Column, n: int = 2) -> Column:
-    """Word n-grams; fewer words than n give one gram of them all, none give none."""
-    w = words(c)
+def grams(w: Column, n: int = 2) -> Column:
+    """Word n-grams of a column of words; fewer words than n give one gram of them all, none give none. Words should
+    be a plain column, since they are used more than once."""
     slide = F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.concat_ws(" ", F.slice(w, i, n)))
     return F.when(F.size(w) >= n, slide).when(F.size(w) > 0, F.array(F.concat_ws(" ", w))).otherwise(F.array().cast("array<string>"))
 
 
-def gram_hashes(c: Column, n: int = 2) -> Column:
-    return F.transform(F.array_distinct(grams(c, n)), lambda g: F.conv(F.substring(F.md5(g.cast("binary")), 1, 8), 16, 10).cast("long"))
+def gram_hashes(w: Column, n: int = 2) -> Column:
+    return F.transform(F.array_distinct(grams(w, n)), lambda g: F.conv(F.substring(F.md5(g.cast("binary")), 1, 8), 16, 10).cast("long"))
+
+
+def signatures(df: DataFrame, text: str, seq: str = "seq", num_perm: int = 128, seed: int = 42) -> DataFrame:
+    """seq, sig of each row's text, written once: else a filter on sig would take the words apart again."""
+    w = df.select(seq, words(F.col(text)).alias("w"))
+    return materialized(w.select(seq, gram_hashes(F.col("w")).alias("h")).select(seq, signature(F.col("h"), num_perm, seed).alias("sig")), "signatures")
 
 
 def family(num_perm: int = 128, seed: int = 42) -> tuple[list[int], list[int]]:
@@ -102,7 +108,7 @@ def near_losers(buckets: DataFrame, seq: str = "seq", most_rounds: int = 60) ->
 
 
 def mark_near(df: DataFrame, text: str, seq: str = "seq", num_perm: int = 128, n_bands: int = 32, seed: int = 42, into: str = "is_near_duplicate") -> DataFrame:
-    sig = df.select(seq, signature(gram_hashes(F.col(text)), num_perm, seed).alias("sig"))
+    sig = signatures(df, text, seq, num_perm, seed)
     lost = near_losers(bands(sig, "sig", seq, n_bands, num_perm), seq).withColumnRenamed("seq", "_lost")
     return df.join(lost, F.col(seq) == F.col("_lost"), "left").withColumn(into, F.col("_lost").isNotNull()).drop("_lost")
 

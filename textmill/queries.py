@@ -1,4 +1,411 @@
-"""Registry of queries over the test tables and their SQL."""
+"""Queries over the test tables, one or more per operator, and SQL that gives the same rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from textmill.functions import quality as Q
+from textmill.functions import records
+from textmill.functions import text as T
+from textmill.operators import dataset, dedup
+from textmill.plans import build
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(f):
+    QUERIES[f.__name__] = f
+    return f
+
+
+def docs(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/documents.parquet")
+
+
+# SQL pieces. The tables' white space is ASCII and U+00A0 at most, so that RE2's classes suffice.
+_S = r"[\s\x1c-\x1f\x85\p{Z}]"
+_L = r"[\t\x0b\x0c\r\x1c-\x1f\x85\p{Z}]"
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '\\A{_S}+|{_S}+\\z', '', 'g')"
+
+
+def _space(x: str) -> str:
+    x = f"regexp_replace({x}, '\\r\\n?', chr(10), 'g')"
+    x = f"regexp_replace({x}, '[ \\t]+', ' ', 'g')"
+    x = f"regexp_replace({x}, '{_L}+(\\n|\\z)', '\\1', 'g')"
+    x = f"regexp_replace({x}, '(\\A|\\n){_L}+', '\\1', 'g')"
+    return _strip(f"regexp_replace({x}, '\\n{{3,}}', chr(10) || chr(10), 'g')")
+
+
+def _repaired(x: str) -> str:
+    for bad, good in T.MOJIBAKE:
+        x = f"replace({x}, '{bad}', '{good.replace(chr(39), chr(39) * 2)}')"
+    return x
+
+
+_HASH = f"sha256(regexp_replace(lower({_strip('text')}), '{_S}+', ' ', 'g'))"
+_WORDS = "regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')"
+_TOKENS = f"list_filter(regexp_split_to_array(text, '{_S}+'), lambda x: x <> '')"
+_COMMON = ", ".join(f"'{w}'" for w in Q.COMMON)
+_ALSO = ", ".join(f"'{w}'" for w in [*Q.COMMON, *Q.LETTERS])
+_JUNK = " + ".join(f"CAST(contains(lower(text), '{k}') AS INT)" for k in Q.JUNK)
+
+_LANG = f"""
+lang AS (SELECT doc_id, CASE WHEN n = 0 THEN 0.0 WHEN tr THEN least(1.0::DOUBLE, mr * 20.0::DOUBLE + wr * 4.0::DOUBLE + 0.5::DOUBLE) WHEN wr >= 0.08 OR ar >= 0.08 THEN least(0.9::DOUBLE, ar * 4.0::DOUBLE + 0.5::DOUBLE) WHEN k > 0 THEN 0.35 ELSE 0.05 END::DOUBLE AS confidence,
+                CASE WHEN n = 0 THEN 'unknown' WHEN tr THEN 'tr' WHEN wr >= 0.08 OR ar >= 0.08 THEN 'tr_ascii' WHEN k > 0 THEN 'tr_low' ELSE 'non_tr' END AS code
+         FROM (SELECT *, mr >= 0.005 OR (m > 0 AND wr >= 0.05) AS tr FROM (
+           SELECT doc_id, n, m, k, coalesce(m::DOUBLE / nullif(length(text), 0), 0) AS mr, coalesce(k::DOUBLE / nullif(n, 0), 0) AS wr, coalesce(a::DOUBLE / nullif(n, 0), 0) AS ar FROM (
+             SELECT doc_id, text, len(w) AS n, length(regexp_replace(text, '[^{Q.LETTERS}]', '', 'g')) AS m, len(list_filter(w, lambda x: x IN ({_COMMON}))) AS k,
+                    len(list_filter(w, lambda x: translate(x, '{Q.ASCII_FORMS[0]}', '{Q.ASCII_FORMS[1]}') IN ({_ALSO}))) AS a
+             FROM (SELECT doc_id, text, {_WORDS} AS w FROM d)))))"""
+_REASON = f"""
+reason AS (SELECT doc_id, CASE WHEN {_strip('text')} = '' THEN 'EMPTY'
+             WHEN len(list_filter(list_distinct(string_split(text, '')), lambda c: c <> chr(10) AND contains(text, repeat(c, 9)))) > 0 THEN 'REPEATED_CHARACTERS'
+             WHEN length({_strip('text')}) < 50 AND regexp_full_match({_strip('text')}, '(?i)[{Q.MASH}]+') THEN 'KEYBOARD_MASH'
+             WHEN len(w) > 10 AND len(list_distinct(w)) <= 2 THEN 'REPEATED_WORD_SPAM' WHEN {_JUNK} >= 2 THEN 'SPAM_KEYWORDS'
+             WHEN NOT regexp_matches(text, '\\p{{L}}') AND length(text) > 10 THEN 'NO_ALPHABETIC_CHARACTERS' ELSE '' END AS reason
+           FROM (SELECT doc_id, text, list_filter(regexp_split_to_array(lower({_strip('text')}), '{_S}+'), lambda x: x <> '') AS w FROM d))"""
+_DIGIT = "[\\p{Nd}²³¹⁰⁴-⁹₀-₉]"
+_LEN = lambda p: f"length(regexp_replace(text, '{p}', '', 'g'))"
+_RATIOS = f"""
+ratios AS (SELECT doc_id, length(text) AS n, coalesce({_LEN('[^\\p{L}]')}::DOUBLE / nullif(length(text), 0), 0) AS alpha, coalesce((length(text) - {_LEN(_DIGIT)})::DOUBLE / nullif(length(text), 0), 0) AS digit,
+             coalesce({_LEN('[\\p{L}\\p{N}\\s\\x1c-\\x1f\\x85\\p{Z}]')}::DOUBLE / nullif(length(text), 0), 0) AS punct,
+             coalesce((length(text) - {_LEN('https?://[^\\s\\x1c-\\x1f\\x85\\p{Z}]+|www\\.[^\\s\\x1c-\\x1f\\x85\\p{Z}]+')})::DOUBLE / nullif(length(text), 0), 0) AS url, len({_TOKENS}) AS words FROM d)"""
+_SCORE = """
+score AS (SELECT doc_id, CASE WHEN reason = 'EMPTY' THEN 0.0 ELSE round(greatest(0.0::DOUBLE, least(100.0::DOUBLE,
+            confidence * 35.0::DOUBLE + CASE WHEN alpha >= 0.60 THEN 25.0::DOUBLE ELSE alpha / 0.60::DOUBLE * 25.0::DOUBLE END + CASE WHEN words >= 10 THEN 15.0::DOUBLE ELSE words::DOUBLE / 10.0::DOUBLE * 15.0::DOUBLE END
+            + CASE WHEN n BETWEEN 50 AND 100000 THEN 10.0::DOUBLE ELSE 0.0::DOUBLE END - CASE WHEN reason <> '' THEN 50.0::DOUBLE ELSE 0.0::DOUBLE END - CASE WHEN punct > 0.35 THEN 20.0::DOUBLE ELSE 0.0::DOUBLE END
+            - CASE WHEN digit > 0.40 THEN 20.0::DOUBLE ELSE 0.0::DOUBLE END - CASE WHEN url > 0.20 THEN 25.0::DOUBLE ELSE 0.0::DOUBLE END)), 2) END::DOUBLE AS score, code, reason
+          FROM lang JOIN reason USING (doc_id) JOIN ratios USING (doc_id))"""
+_DOCS = "WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)"
+_ALL = f"{_DOCS}, {_LANG}, {_REASON}, {_RATIOS}, {_SCORE}"
+_FIRST = f"ex AS (SELECT doc_id, text, {_HASH} AS norm_hash, row_number() OVER (PARTITION BY {_HASH} ORDER BY doc_id) AS rn FROM (SELECT * FROM d WHERE length(text) >= 50))"
+_U = "CAST('0x' || substr(sha256('42:' || norm_hash), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE"
+_SPLIT = f"CASE WHEN {_U} < 0.98 THEN 'train' WHEN {_U} < 0.99 THEN 'validation' ELSE 'test' END"
+_GRAMS = f"""g AS (SELECT doc_id, CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) WHEN len(w) = 1 THEN w ELSE [] END AS grams FROM (SELECT doc_id, {_WORDS} AS w FROM d))"""
+
+
+def _signature(perms: int = 128) -> str:
+    a, b = dedup.family(perms)
+    coef = ", ".join(f"({i}, {x}::HUGEINT, {y}::HUGEINT)" for i, (x, y) in enumerate(zip(a, b, strict=True)))
+    return f"""{_GRAMS}, h AS (SELECT DISTINCT doc_id, CAST('0x' || substr(md5(unnest(grams)), 1, 8) AS HUGEINT) AS h FROM g),
+coef AS (SELECT * FROM (VALUES {coef}) AS c(i, a, b)),
+sig AS (SELECT doc_id, list(v ORDER BY i) AS sig FROM (SELECT doc_id, i, CAST(min((a * h + b) % {dedup.PRIME}) AS BIGINT) AS v FROM h, coef GROUP BY doc_id, i) GROUP BY doc_id)"""
+
+
+_BANDS = "b AS (SELECT doc_id, i AS band_id, sha256('(' || array_to_string(list_slice(sig, i * 4 + 1, i * 4 + 4), ', ') || ')') AS bucket_hash FROM sig, range(0, 32) AS r(i))"
+_NEAR = """first AS (SELECT band_id, bucket_hash, min(doc_id) AS a FROM b GROUP BY ALL),
+pairs AS (SELECT DISTINCT x.doc_id AS b, y.doc_id AS a FROM b x JOIN b y USING (band_id, bucket_hash) WHERE y.doc_id < x.doc_id),
+ranked AS (SELECT b, list(a) AS earlier, row_number() OVER (ORDER BY b) AS k FROM pairs GROUP BY b),
+steps AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS lost UNION ALL
+  SELECT r.k, CASE WHEN len(list_filter(r.earlier, lambda x: NOT list_contains(s.lost, x))) > 0 THEN list_append(s.lost, r.b) ELSE s.lost END FROM steps s JOIN ranked r ON r.k = s.k + 1),
+lost AS (SELECT unnest(lost) AS doc_id FROM (SELECT lost FROM steps ORDER BY k DESC LIMIT 1))"""
+
+
+def _near(of: str) -> str:
+    return f"WITH RECURSIVE src AS ({of}), d AS (SELECT doc_id, text FROM src), {_signature()}, {_BANDS}, {_NEAR}"
+
+
+def _text(name: str, sql: str, f, table: str = "documents", key: str = "doc_id", col: str = "text") -> None:
+    """A cleaning step as a query: key, out."""
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        return spark.read.parquet(f"{d}/{table}.parquet").select(key, f(F.col(col)).alias("out"))
+
+    run.__name__ = name
+    QUERIES[name] = run
+    if sql:
+        ORACLES[name] = f"SELECT {key}, {sql} AS out FROM (SELECT {key}, coalesce({col}, '') AS text FROM {table})"
+
+
+_damage = lambda c: F.concat(F.lit("Ã§Ä±Ã¼â€œÂ "), F.lpad(F.lit(""), 0, ""), c)
+_text("ws_normalize", _space("text"), T.even_space)
+_text("ws_normalize_pages", _space("text"), T.even_space, "pages", "page_id", "html")
+_text("control_chars", "regexp_replace(chr(7) || text || chr(127), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f-\\x9f]', '', 'g')", lambda c: T.drop_controls(F.concat(F.lit("\x07"), c, F.lit("\x7f"))))
+_text("mojibake_table", _repaired("'Ã§Ä±Ã¼â€œÂ ' || text"), lambda c: T.repair_mojibake(_damage(c)))
+_text("mojibake_clean_text", "text", T.repair_mojibake)
+_text("unicode_nfc", "nfc_normalize('e' || chr(769) || text)", lambda c: T.normal_form(F.concat(F.lit("é"), c)))
+_html = "text"
+for _t in T.BLOCK_TAGS.split("|"):
+    _html = f"regexp_replace({_html}, '(?is)<{_t}[^>]*>.*?</{_t}>', ' ', 'g')"
+_html = f"regexp_replace(regexp_replace({_html}, '(?i)<({T.LINE_TAGS})\\b[^>]*>', chr(10), 'g'), '<[^>]+>', ' ', 'g')"
+_text("html_strip", _html, T.strip_html, "pages", "page_id", "html")
+_text("entities", "replace(replace(replace(replace(text, '&middot;', '·'), '&copy;', '©'), '&quot;', '\"'), '&amp;', '&')", T.decode_entities, "pages", "page_id", "html")
+_text("markdown_clean", "", lambda c: T.strip_markdown(F.concat(F.lit("# **Title** [here](http://x) "), c), True))
+_text("clean_page", "", lambda c: T.clean(c, "html"), "pages", "page_id", "html")
+_text("normalized_hash", f"sha256(regexp_replace(lower({_strip('text')}), '{_S}+', ' ', 'g'))", Q.normalized_hash)
+_text("raw_hash", "sha256(text)", Q.raw_hash)
+_text("token_count", f"CAST(CASE WHEN text = '' THEN 0 ELSE greatest(1, trunc((length(text) / 4.0::DOUBLE + len({_TOKENS}) * 1.3::DOUBLE) / 2.0::DOUBLE)) END AS INT)", Q.token_estimate)
+_text("preview", "substr(text, 1, 200)", lambda c: F.substring(c, 1, 200))
+
+
+@query
+def encoding_gate(spark, d):
+    return docs(spark, d).agg(F.count("*").alias("n"), F.count_if(T.broken_encoding(F.col("text"))).alias("broken"))
+
+
+ORACLES["encoding_gate"] = "SELECT count(*) AS n, count(*) FILTER (WHERE contains(text, chr(65533)) AND (length(text) - length(replace(text, chr(65533), ''))) > 5 AND (length(text) - length(replace(text, chr(65533), '')))::DOUBLE / length(text) > 0.05) AS broken FROM documents"
+
+
+@query
+def length_gate(spark, d):
+    return docs(spark, d).groupBy((F.length(T.text_of(F.col("text"))) < 50).alias("too_short")).agg(F.count("*").alias("n"))
+
+
+ORACLES["length_gate"] = "SELECT length(coalesce(text, '')) < 50 AS too_short, count(*) AS n FROM documents GROUP BY 1"
+
+
+@query
+def lang_detect(spark, d):
+    return docs(spark, d).select("doc_id", Q.language(F.col("text")).alias("l")).select("doc_id", "l.confidence", "l.code")
+
+
+ORACLES["lang_detect"] = f"{_DOCS}, {_LANG} SELECT doc_id, confidence, code FROM lang"
+
+
+@query
+def lang_summary(spark, d):
+    """Cleaned space, length gate, exact deduplication, language counts."""
+    rows = docs(spark, d).select(F.col("doc_id").alias("seq"), T.even_space(F.col("text")).alias("text")).where(F.length("text") >= 50)
+    return dedup.mark_exact(rows, "text").where("not is_duplicate").groupBy(Q.language(F.col("text"))["code"].alias("code")).agg(F.count("*").alias("n"))
+
+
+ORACLES["lang_summary"] = f"WITH d AS (SELECT doc_id, text FROM (SELECT doc_id, {_space('coalesce(text, chr(32))')} AS text FROM documents)), {_FIRST}, keep AS (SELECT doc_id FROM ex WHERE rn = 1), {_LANG} SELECT code, count(*) AS n FROM lang JOIN keep USING (doc_id) GROUP BY code"
+
+
+@query
+def spam_reason(spark, d):
+    return docs(spark, d).select("doc_id", Q.junk_reason(F.col("text")).alias("reason"))
+
+
+ORACLES["spam_reason"] = f"{_DOCS}, {_REASON} SELECT doc_id, reason FROM reason"
+
+
+@query
+def spam_reason_turns(spark, d):
+    rows = spark.read.parquet(f"{d}/conversations.parquet")
+    return rows.groupBy(Q.junk_reason(F.col("text")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+ORACLES["spam_reason_turns"] = f"WITH d AS (SELECT row_number() OVER () AS doc_id, coalesce(text, '') AS text FROM conversations), {_REASON} SELECT reason, count(*) AS n FROM reason GROUP BY reason"
+
+
+@query
+def char_ratios(spark, d):
+    return docs(spark, d).select("doc_id", Q.ratios(F.col("text")).alias("r")).select("doc_id", *[F.col(f"r.{k}").alias(k) for k in ("alpha", "digit", "punct", "url")])
+
+
+ORACLES["char_ratios"] = f"{_DOCS}, {_RATIOS} SELECT doc_id, alpha, digit, punct, url FROM ratios"
+
+
+@query
+def quality_score(spark, d):
+    q = Q.with_quality(docs(spark, d).select("doc_id", "text"), "text")
+    return q.select("doc_id", F.col("quality.score").alias("score"), F.col("quality.lang_code").alias("code"), F.col("quality.spam_reason").alias("reason"))
+
+
+ORACLES["quality_score"] = f"{_ALL} SELECT doc_id, score, code, reason FROM score"
+
+
+def _long(spark, d):
+    return docs(spark, d).select(F.col("doc_id").alias("seq"), "text", "source").where(F.length("text") >= 50)
+
+
+@query
+def exact_dedup(spark, d):
+    return dedup.mark_exact(_long(spark, d), "text").select(F.col("seq").alias("doc_id"), "is_duplicate")
+
+
+ORACLES["exact_dedup"] = f"{_DOCS}, {_FIRST} SELECT doc_id, rn > 1 AS is_duplicate FROM ex"
+
+
+@query
+def dup_groups(spark, d):
+    return dedup.mark_exact(_long(spark, d), "text").groupBy("norm_hash").agg(F.count("*").alias("n"), F.min("seq").alias("first_id")).where("n > 1")
+
+
+ORACLES["dup_groups"] = f"{_DOCS}, {_FIRST} SELECT norm_hash, count(*) AS n, min(doc_id) AS first_id FROM ex GROUP BY 1 HAVING count(*) > 1"
+
+
+@query
+def exact_history(spark, d):
+    rows = dedup.mark_exact(_long(spark, d), "text").where("not is_duplicate")
+    old = rows.where("source = 'src1'")
+    return dedup.against_history(rows, old).groupBy("source").agg(F.count("*").alias("n"))
+
+
+ORACLES["exact_history"] = f"{_DOCS}, {_FIRST} SELECT source, count(*) AS n FROM ex JOIN documents USING (doc_id) WHERE rn = 1 AND source <> 'src1' GROUP BY source"
+
+
+@query
+def bigrams(spark, d):
+    rows = docs(spark, d).select("doc_id", T.words(F.col("text")).alias("w")).select("doc_id", dedup.grams(F.col("w")).alias("g"))
+    return rows.select("doc_id", F.size("g").cast("long").alias("n"), F.array_join(F.slice("g", 1, 3), "|").alias("first_grams"))
+
+
+ORACLES["bigrams"] = f"{_DOCS}, {_GRAMS} SELECT doc_id, CAST(len(grams) AS BIGINT) AS n, array_to_string(list_slice(grams, 1, 3), '|') AS first_grams FROM g"
+
+
+@query
+def minhash_sig(spark, d):
+    return dedup.signatures(docs(spark, d), "text", "doc_id").select("doc_id", F.array_join("sig", ",").alias("sig"))
+
+
+ORACLES["minhash_sig"] = f"{_DOCS}, {_signature()} SELECT d.doc_id, array_to_string(coalesce(sig, list_transform(range(128), lambda i: 0)), ',') AS sig FROM d LEFT JOIN sig USING (doc_id)"
+
+
+def _buckets(spark, d):
+    rows = dedup.mark_exact(_long(spark, d), "text").where("not is_duplicate")
+    return dedup.bands(dedup.signatures(rows, "text"), "sig")
+
+
+_FIRSTS = f"SELECT doc_id, text FROM (SELECT *, row_number() OVER (PARTITION BY {_HASH} ORDER BY doc_id) AS rn FROM (SELECT doc_id, text FROM documents WHERE length(text) >= 50)) WHERE rn = 1"
+
+
+@query
+def lsh_bands(spark, d):
+    return _buckets(spark, d).select(F.col("seq").alias("doc_id"), "band_id", "bucket_hash")
+
+
+ORACLES["lsh_bands"] = f"WITH d AS ({_FIRSTS}), {_signature()}, {_BANDS} SELECT doc_id, CAST(band_id AS INT) AS band_id, bucket_hash FROM b"
+
+
+@query
+def near_pairs(spark, d):
+    return dedup.near_pairs(_buckets(spark, d))
+
+
+ORACLES["near_pairs"] = f"WITH d AS ({_FIRSTS}), {_signature()}, {_BANDS} SELECT DISTINCT a AS seq_a, doc_id AS seq_b FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY band_id, bucket_hash) AS a FROM b) WHERE a < doc_id"
+
+
+@query
+def near_dedup(spark, d):
+    rows = dedup.mark_exact(_long(spark, d), "text").where("not is_duplicate")
+    return dedup.mark_near(rows, "text").select(F.col("seq").alias("doc_id"), "is_near_duplicate")
+
+
+ORACLES["near_dedup"] = f"{_near(_FIRSTS)} SELECT doc_id, doc_id IN (SELECT doc_id FROM lost) AS is_near_duplicate FROM d"
+
+
+@query
+def chunks(spark, d):
+    return docs(spark, d).select("doc_id", F.posexplode(dataset.chunk_column(F.col("text"))).alias("part", "chunk"))
+
+
+def _fates(spark, d):
+    return build.cascade(docs(spark, d).select(F.col("doc_id").alias("seq"), "text"))
+
+
+@query
+def cascade_fate(spark, d):
+    return _fates(spark, d).select(F.col("doc").alias("doc_id"), "fate")
+
+
+_CLEANED = f"SELECT doc_id, {_space('coalesce(text, chr(32))')} AS text FROM documents"
+_FIRST_CLEAN = f"SELECT doc_id, text FROM (SELECT *, row_number() OVER (PARTITION BY {_HASH} ORDER BY doc_id) AS rn FROM ({_CLEANED}) WHERE length(text) >= 50) WHERE rn = 1"
+_FATE = f"""{_near(_FIRST_CLEAN)}, {_LANG}, {_REASON}, {_RATIOS}, {_SCORE},
+fates AS (SELECT c.doc_id, CASE WHEN length(c.text) < 50 THEN 'TOO_SHORT' WHEN d.doc_id IS NULL THEN 'EXACT_DUPLICATE' WHEN c.doc_id IN (SELECT doc_id FROM lost) THEN 'NEAR_DUPLICATE' WHEN reason <> '' THEN reason
+  WHEN code = 'non_tr' THEN 'NON_TURKISH' WHEN score < 40 THEN 'LOW_QUALITY_SCORE' ELSE 'ACCEPTED' END AS fate, score, c.text, sha256(regexp_replace(lower({_strip('c.text')}), '{_S}+', ' ', 'g')) AS norm_hash
+  FROM ({_CLEANED}) c LEFT JOIN d USING (doc_id) LEFT JOIN score USING (doc_id))"""
+ORACLES["cascade_fate"] = f"{_FATE} SELECT doc_id, fate FROM fates"
+
+
+@query
+def build_stats(spark, d):
+    return _fates(spark, d).groupBy("fate").agg(F.count("*").alias("n"))
+
+
+ORACLES["build_stats"] = f"{_FATE} SELECT fate, count(*) AS n FROM fates GROUP BY fate"
+
+
+@query
+def review_queue(spark, d):
+    return build.review(_fates(spark, d)).select("doc_id", "score")
+
+
+ORACLES["review_queue"] = f"{_FATE} SELECT CAST(doc_id AS VARCHAR) AS doc_id, score FROM fates WHERE fate = 'ACCEPTED' AND score < 60"
+
+
+@query
+def reject_records(spark, d):
+    return build.rejected(_fates(spark, d)).groupBy("reject_code", "reason").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
+
+
+ORACLES["reject_records"] = f"""{_FATE} SELECT CASE fate WHEN 'TOO_SHORT' THEN 'too_short' WHEN 'EXACT_DUPLICATE' THEN 'duplicate' WHEN 'NEAR_DUPLICATE' THEN 'near_duplicate' WHEN 'NON_TURKISH' THEN 'non_turkish' WHEN 'LOW_QUALITY_SCORE' THEN 'invalid' ELSE 'spam' END AS reject_code,
+ fate AS reason, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM fates WHERE fate <> 'ACCEPTED' GROUP BY ALL"""
+
+
+@query
+def split_assign(spark, d):
+    return _fates(spark, d).where("split is not null").select(F.col("doc").alias("doc_id"), "split")
+
+
+ORACLES["split_assign"] = f"{_FATE} SELECT doc_id, {_SPLIT} AS split FROM fates WHERE fate = 'ACCEPTED'"
+
+
+@query
+def split_counts(spark, d):
+    return dataset.counts(_fates(spark, d).where("split is not null"), "split", text="chunk")
+
+
+_COUNTS = f"count(*) AS document_count, CAST(sum(length(text)) AS BIGINT) AS character_count, CAST(sum(len({_TOKENS})) AS BIGINT) AS word_count, CAST(sum(CASE WHEN text = '' THEN 0 ELSE greatest(1, trunc((length(text) / 4.0::DOUBLE + len({_TOKENS}) * 1.3::DOUBLE) / 2.0::DOUBLE)) END) AS BIGINT) AS estimated_token_count"
+ORACLES["split_counts"] = f"{_FATE} SELECT {_SPLIT} AS split, {_COUNTS} FROM fates WHERE fate = 'ACCEPTED' GROUP BY 1"
+
+
+@query
+def manifest_counts(spark, d):
+    return dataset.counts(docs(spark, d), "source")
+
+
+ORACLES["manifest_counts"] = f"SELECT source, {_COUNTS} FROM documents GROUP BY source"
+
+
+@query
+def shard_assign(spark, d):
+    from textmill.config import Dataset
+
+    rows = docs(spark, d).select(F.col("doc_id").alias("seq"), F.col("lang").alias("split"))
+    return dataset.shards(rows, "seq", Dataset(shard_max_documents=100)).select(F.col("seq").alias("doc_id"), "split", "shard")
+
+
+ORACLES["shard_assign"] = "SELECT doc_id, lang AS split, CAST(floor((row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1) / 100) AS BIGINT) AS shard FROM documents"
+
+
+@query
+def leakage(spark, d):
+    return dataset.leaks(docs(spark, d), "text", "lang")
+
+
+@query
+def leakage_sources(spark, d):
+    return dataset.leaks(docs(spark, d), "text", "source")
+
+
+for _n, _c in (("leakage", "lang"), ("leakage_sources", "source")):
+    ORACLES[_n] = f"WITH h AS (SELECT DISTINCT {_c} AS s, sha256({_strip('text')}) AS h FROM documents) SELECT a.s AS split_a, b.s AS split_b, count(*) AS n_shared FROM h a JOIN h b ON a.h = b.h AND a.s < b.s GROUP BY ALL"
+
+
+@query
+def json_text_field(spark, d):
+    rows = spark.read.parquet(f"{d}/conversations.parquet")
+    got = records.text_field(F.to_json(F.struct("role", F.col("text").alias("content"), F.col("role").alias("title"))))
+    return rows.select("conv_id", "turn", got.alias("g")).select("conv_id", "turn", F.col("g.text").alias("text"), F.col("g.field").alias("field"))
+
+
+ORACLES["json_text_field"] = f"SELECT conv_id, turn, CASE WHEN {_strip('text')} <> '' THEN text ELSE role END AS text, CASE WHEN {_strip('text')} <> '' THEN 'content' ELSE 'title' END AS field FROM conversations"
+
+
+@query
+def json_text_field_events(spark, d):
+    return spark.read.parquet(f"{d}/events.parquet").groupBy(records.text_field(F.col("props"))["field"].alias("field")).agg(F.count("*").alias("n"))
+
+
+@query
+def analyze_sample(spark, d):
+    return build.analyze(docs(spark, d).withColumnRenamed("doc_id", "seq"), "source").select(F.col("seq").alias("doc_id"), "source", "raw")
+
+
+ORACLES["analyze_sample"] = "SELECT doc_id, source, raw FROM (SELECT doc_id, source, substr(text, 1, 200) AS raw, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents) WHERE rn <= 10 ORDER BY source, doc_id LIMIT 100"

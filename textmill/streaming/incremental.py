@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions.quality import normalized_hash
-from textmill.operators.dedup import against_history, bands, gram_hashes, mark_exact, near_losers, signature
+from textmill.operators.dedup import against_history, bands, mark_exact, near_losers, signatures
 from textmill.session import materialized
 
 
@@ -33,7 +33,7 @@ def add_batch(batch: DataFrame, state: str, batch_id: int) -> DataFrame:
     old_b = table(spark, f"{state}/buckets", "band_id int, bucket_hash string, batch long").where(F.col("batch") < batch_id)
     fresh = against_history(mark_exact(batch, "text").where("not is_duplicate").drop("is_duplicate"), old_h)
     fresh = materialized(fresh, "fresh")
-    sig = fresh.select("seq", signature(gram_hashes(F.col("text"))).alias("sig"))
+    sig = signatures(fresh, "text")
     b = materialized(bands(sig, "sig"), "batch-bands")
     seen = b.join(old_b, ["band_id", "bucket_hash"], "left_semi").select("seq").distinct()
     lost = seen.unionByName(near_losers(b.join(seen, "seq", "left_anti")))
