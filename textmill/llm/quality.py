@@ -56,10 +56,11 @@ def feature_table(docs: DataFrame) -> DataFrame:
     return id_text(docs).mapInArrow(run, "doc_id long, x array<double>")
 
 
-def cuts(gain: np.ndarray, weight: np.ndarray, leaves: int, least: float = 20.0) -> np.ndarray:
+def cuts(gain: np.ndarray, weight: np.ndarray, leaves: int) -> np.ndarray:
     """A tree over ordered bins: greedily splits the range with the best gain; gives each bin its leaf's value."""
     g, h = np.concatenate([[0], np.cumsum(gain)]), np.concatenate([[0], np.cumsum(weight)])
     ends, out = [(0, len(gain))], np.zeros(len(gain))
+    least = min(20.0, max(2.0, 0.03 * h[-1]))  # weight of a leaf
     value = lambda a, b: (g[b] - g[a]) ** 2 / (h[b] - h[a] + 1)
     while len(ends) < leaves:
         best = (1e-6, None)

@@ -79,7 +79,7 @@ def lzw(data: bytes) -> bytes:
         put(table[now], width)
         table[longer] = free
         free += 1
-        if free == (1 << width) - 1 and width < 12:
+        if free == 1 << width and width < 12:
             width += 1
         elif free == 4094:
             put(256, width)
@@ -88,7 +88,7 @@ def lzw(data: bytes) -> bytes:
     if now:
         put(table[now], width)
         free += 1
-        if free == (1 << width) - 1 and width < 12:
+        if free == 1 << width and width < 12:
             width += 1
     put(257, width)
     if size:
