@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import re
 import tempfile
 import uuid
 
@@ -37,13 +39,18 @@ def fold(doc_id: Column, mod: int) -> Column:
     return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % mod).cast("int")
 
 
+@functools.cache
+def own_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix="textmill-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one is set only where that is unset."""
+    """The folder named in spark.checkpoint.dir. Where that is unset, a local run has a temporary folder of its own,
+    and a cluster gets an error, since its machines share no temporary folder."""
     at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = tempfile.mkdtemp(prefix="textmill-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at
+    if not at and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return at or own_dir(spark.sparkContext.applicationId)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
