@@ -206,7 +206,7 @@ def repeated_anchors(rows: DataFrame) -> DataFrame:
 
 
 def repeats(rows: DataFrame, hot: np.ndarray) -> DataFrame:
-    """rows(doc, tie, body, at: anchor positions) -> doc, tie, lo, hi: ranges of repeated windows."""
+    """rows(doc, tie, body, at: anchor positions; others are ignored) -> doc, tie, lo, hi: ranges of repeated windows."""
     parts = partitions(rows.sparkSession)
     names = ("kind", "h", "g", "text", "doc", "tie", "pos", "hi")
     held = rows.sparkSession.sparkContext.broadcast(np.sort(hot))
@@ -327,8 +327,9 @@ def without_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     total = found.where("n is not null and h is null").agg(F.sum("n")).first()[0] or 0
     hot = found.where(F.col("h").isNotNull() & (F.col("n") >= max(HOT, HOT_SHARE * total))).select("h").toPandas()["h"].to_numpy().astype(np.int64).view(np.uint64)
     at = found.where("pos is not null").groupBy("doc", "tie").agg(F.collect_list("pos").alias("at"))
-    flags = repeats(rows.select("doc", "tie", "body").join(at.hint("shuffle_hash"), ["doc", "tie"]), hot)
-    flags = stored(flags, "repeats").groupBy("doc", "tie").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
+    # Both joins deal out the same columns of rows, so that without other columns one exchange of the texts serves both.
+    flags = repeats(rows.select("doc_id", "body", "doc", "tie").join(at.hint("shuffle_hash"), ["doc", "tie"]), hot)
+    flags = (stored(flags, "repeats") if with_text else flags).groupBy("doc", "tie").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
