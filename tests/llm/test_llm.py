@@ -5,13 +5,14 @@ import random
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from textmill.llm import chat, contamination, langid, lm, packing, quality, simhash, suffixdedup, suffixes, tiff, tokencount, tokens
+from textmill.llm import chat, contamination, langid, lm, packing, quality, simhash, suffixdedup, suffixes, tiff, tokencount, tokens, util
 
 SF = "/root/testdata/sf0.001"
 ODD = [(None, "a b c d e f g h i"), (5, None), (6, ""), (7, "x " * 30_000), (8, "same text here"), (8, "same text here"), (9, "ÄÖ 日本 🙂 ² end")]
@@ -202,6 +203,27 @@ def test_base_scores(spark, docs):
         assert r["base_score"] == pytest.approx(sum(np.log10((c[w] + 1) / (n + v + 1)) for w in x)) and r["score"] < 0
 
 
+def test_model_beats_word_counts_on_held_out_rows(spark):
+    rows = lm.score_corpus(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).where("held_out")
+    model, base = rows.agg(F.sum("score"), F.sum("base_score")).first()
+    assert model > base
+
+
+def test_shares_sum_to_one():
+    r = np.random.default_rng(4)
+    count = np.append(r.integers(0, 50, 2999), 7)
+    starts = np.where(np.arange(3000) % 3 == 0, count, 0)
+    inputs = lm.numbered(count)
+    pairs = r.integers(0, 3, (lm.INPUTS, lm.INPUTS)).astype(float)
+    cls, inside = lm.classed(count, starts, inputs, pairs)
+    prior, more, rare = lm.shares(count, starts, cls, inside, inputs, pairs)
+    assert np.exp(prior).sum(1) == pytest.approx(1, abs=1e-4)
+    goes_on = 2 * starts <= count
+    for before in (0, 5, 2000):
+        logs = inside + more[before, inputs] + np.where((inputs == 0) & goes_on, rare[before, cls], 0)
+        assert np.bincount(cls, np.exp(logs), lm.CLASSES) == pytest.approx((np.bincount(cls, minlength=lm.CLASSES) > 0).astype(float), abs=1e-3)
+
+
 def test_pipeline(spark):
     out = spark.read.parquet(f"{SF}/documents.parquet")
     sizes = []
@@ -209,3 +231,13 @@ def test_pipeline(spark):
         out = stage(spark, out, SF)
         sizes.append(out.select("doc_id").distinct().count())
     assert sizes == sorted(sizes, reverse=True) and sizes[-1] == sizes[-2] > 0
+
+
+def test_shared_folder_without_setting():
+    def session(master):
+        return SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master, applicationId="app"))
+
+    assert util.shared_dir(session("local[2]")) == util.shared_dir(session("local"))
+    for master in ("local-cluster[2,1,1024]", "spark://host:7077", "yarn"):
+        with pytest.raises(ValueError):
+            util.shared_dir(session(master))
