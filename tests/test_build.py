@@ -1,8 +1,11 @@
 import json
 import random
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
+from textmill import session
 from textmill.config import Config
 from textmill.operators import dataset, dedup
 from textmill.plans import build
@@ -59,3 +62,13 @@ def test_files_to_dataset(spark, tmp_path):
     lines = [json.loads(x) for p in out.glob("*/*-0*.jsonl") for x in p.read_text(encoding="utf-8").splitlines()]
     assert [x["text"] for x in lines] == [TR.strip() + " " + TR.strip() + " " + TR.strip()]
     assert build.run_build(spark, docs, str(out), Config(), 6) == first
+
+
+def test_shared_folder_without_setting():
+    def fake(master):
+        return SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master, applicationId="app"))
+
+    assert session.shared_dir(fake("local[2]")) == session.shared_dir(fake("local"))
+    for master in ("local-cluster[2,1,1024]", "spark://host:7077", "yarn"):
+        with pytest.raises(ValueError):
+            session.shared_dir(fake(master))
