@@ -177,6 +177,15 @@ def test_simhash(spark, docs):
     assert got == {i: (f"{f[i]:016x}", root[i]) for i in f}
 
 
+def test_one_of_each_keeps_a_row_of_every_component(spark):
+    texts = [" ".join(f"{t}{k}" for k in range(40)) for t in "abcdefg"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (6, texts[3]), (None, texts[4]), (7, texts[4]), (8, None), (8, ""), (9, texts[5]), (9, texts[5])]
+    got = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit(1))).collect()
+    assert all(r["n"] == 1 for r in got)
+    want = [(None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (7, texts[4]), (8, ""), (9, texts[5])]
+    assert sorted((str(r["doc_id"]), r["text"] or "") for r in got) == sorted((str(i), x) for i, x in want)
+
+
 def test_golay_keys_meet():
     r = np.random.default_rng(2)
     a = r.integers(0, 2**63, 3000, dtype=np.int64).view(np.uint64)

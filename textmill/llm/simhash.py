@@ -148,13 +148,13 @@ def bucket_links(key: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long) for each row of docs(doc_id, text); a null text counts as empty."""
+    """doc_id, fp (the 64 bits as a signed long), text_md5 for each row of docs(doc_id, text); a null text counts as empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(x) for x in b.column("body").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "fp": pa.array(fp.view(np.int64))})
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "fp": pa.array(fp.view(np.int64)), "text_md5": b.column("text_md5")})
 
-    return id_text(docs).mapInArrow(run, "doc_id long, fp long")
+    return id_text(docs).withColumn("text_md5", F.md5("body")).mapInArrow(run, "doc_id long, fp long, text_md5 string")
 
 
 def links(prints: DataFrame) -> DataFrame:
@@ -185,23 +185,35 @@ def near_copies(docs: DataFrame) -> DataFrame:
     fingerprint is linked with in the spanning links (0: none). Texts without words have fingerprint zero.
     Repeated rows each get a row; other columns are ignored.
     """
-    rows = stored(fingerprints(docs), "fingerprints")
-    each = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "classes")
-    edges = stored(links(each.select("fp")).distinct(), "edges")
-    root = components(edges, "stars")
+    rows = stored(fingerprints(docs).drop("text_md5"), "fingerprints")
+    each, edges = classes(rows)
     degree = edges.select(F.col("a").alias("fp")).union(edges.select("b")).groupBy("fp").agg(F.count("*").alias("n_links"))
-    each = each.join(root, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     low = each.groupBy("root").agg(F.min("low").alias("component_id"))
     each = each.join(low, "root").join(degree, "fp", "left").select("fp", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     return rows.join(each, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_links")
 
 
+def classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """rows(doc_id, fp) -> fp, low (its smallest doc_id), root (of its component), and the links found."""
+    each = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "classes")
+    edges = stored(links(each.select("fp")).distinct(), "edges")
+    each = each.join(components(edges, "stars"), F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    return each, edges
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs, with all their columns, of each component's smallest doc_id; of repeated rows of it, one."""
-    kept = near_copies(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("n"))
-    kept = stored(kept, "kept")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id"))
-    out = docs.join(kept.where("n = 1"), same, "left_semi")
-    if kept.where("n > 1").limit(1).count():
-        out = out.unionByName(docs.join(kept.where("n > 1"), same, "left_semi").dropDuplicates(["doc_id"]))
+    """One row of docs, with all its columns, of each component: of its smallest doc_id (null: after all others), of
+    that one's texts the one of the smallest MD5, and of equal rows any."""
+    rows = stored(fingerprints(docs), "fingerprints")
+    each, _ = classes(rows)
+    same = rows.groupBy("fp", "doc_id", "text_md5").agg(F.count("*").alias("n")).join(each.select("fp", "root"), "fp")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_md5", "n")).alias("first")
+    kept = stored(same.groupBy("root").agg(first).select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_md5").alias("kept_md5"), F.col("first.n").alias("kept_n")), "kept")
+    md5 = F.md5(F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary"))
+    own = docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & (md5 == kept["kept_md5"])
+    out = docs.join(kept.where("kept_n = 1"), own, "left_semi")
+    if kept.where("kept_n > 1").limit(1).count():
+        keys = {f"one_of_each {k}": c for k, c in (("id", docs["doc_id"].cast("long")), ("md5", md5))}
+        several = docs.join(kept.where("kept_n > 1"), own, "left_semi").withColumns(keys)
+        out = out.unionByName(several.dropDuplicates(list(keys)).drop(*keys))
     return out
