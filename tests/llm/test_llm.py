@@ -112,6 +112,19 @@ def test_packing(spark, docs):
     assert len(by) <= 1.05 * -(-sum(r["length"] for r in rows) // 1024)
 
 
+def test_local_search_runs_to_its_end():
+    assert len(packing.local_search([[i] for i in range(600)], [256] * 600, 1024)) == 150
+    r, room = np.random.default_rng(6), 1024
+    sizes = r.integers(200, 401, 4000).tolist()
+    first = packing.best_fit(sizes, room)
+    bins = packing.local_search(first, sizes, room)
+    assert sorted(i for b in bins for i in b) == list(range(len(sizes)))
+    fill = [sum(sizes[i] for i in b) for b in bins]
+    assert max(fill) <= room and len(first) - len(bins) > 0.8 * (len(first) - -(-sum(sizes) // room))
+    state, under = packing.Bins(bins, sizes, room), [b for b in range(len(bins)) if fill[b] < room]
+    assert len(bins) == -(-sum(sizes) // room) or all(state.best(b, -1) is None for b in under)
+
+
 def test_tiff_round_trip(spark):
     r = np.random.default_rng(1)
     pages = [r.integers(0, 4, (h, w)).astype(np.uint8) * (h % 3) for h, w in ((1, 1), (70, 33), (300, 576))]

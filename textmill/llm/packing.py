@@ -3,7 +3,7 @@
 Texts become ids in one pass; documents of more than one sequence are cut so that only their first piece is
 shorter. Whole pieces fill a sequence each. The others are dealt by row number into shards of a bounded size;
 each shard is packed best-fit decreasing, and then a local search over its underfull bins moves a document,
-exchanges one for one or two for one whenever this raises the sum of squared fills, until bins empty out.
+exchanges one for one or two for one whenever this raises the sum of squared fills, until none does.
 A shard costs at most about one sequence over the optimum.
 """
 
@@ -48,66 +48,104 @@ def best_fit(sizes: list[int], room: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], sizes: list[int], room: int, tries: int = 200) -> list[list[int]]:
-    """Empties bins by moves that raise the sum of squared fills; stops at the least possible number of bins."""
-    fill = [sum(sizes[i] for i in b) for b in bins]
-    least = -(-sum(fill) // room)
+class Bins:
+    """Underfull bins and what may come back from each in an exchange: nothing, an item, or two items."""
+
+    def __init__(self, bins: list[list[int]], sizes: list[int], room: int) -> None:
+        self.sizes, self.room = sizes, room
+        self.bins = [list(b) for b in bins]
+        #: The entry after the last stands for no bin: it is full, so that nothing is exchanged with it.
+        self.fill = np.array([sum(sizes[i] for i in b) for b in bins] + [room], np.int64)
+        #: The step of each bin's last change.
+        self.changed = np.zeros(len(bins) + 1, np.int64)
+        self.step = 0
+        backs = [self.backs(b) for b in range(len(bins)) if self.fill[b] < room]
+        self.size, self.bin, self.count = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*backs, strict=True) if backs else ([], [], [])))
+
+    def backs(self, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct sizes that bin b can give back, the bin, and by how many items (the fewest)."""
+        own = np.unique(np.array([self.sizes[i] for i in self.bins[b]], np.int64))
+        n = np.array([self.sizes[i] for i in self.bins[b]], np.int64)
+        two = np.setdiff1d((n[:, None] + n)[np.triu_indices(len(n), 1)], own)
+        size = np.concatenate([[0], own, two])
+        return size, np.full(len(size), b), np.repeat([0, 1, 2], [1, len(own), len(two)])
+
+    def best(self, a: int, since: int) -> tuple[int, int, int] | None:
+        """Bin, what bin a gives it and what comes back: a move, one for one, two for one or one for two that
+        raises the sum of squared fills; with the fullest bin that has any. Bins not changed after `since` are left out."""
+        fill, room = self.fill, self.room
+        out = np.array([self.sizes[i] for i in self.bins[a]], np.int64)
+        two = (out[:, None] + out)[np.triu_indices(len(out), 1)]
+        #: By the number of items back and a size: the largest size at most that, which a can give for them.
+        most = np.zeros((3, room + 1), np.int64)
+        most[:, out] = out
+        most[1, two[two <= room]] = two[two <= room]
+        most = np.maximum.accumulate(most, axis=1)
+        size, of, count = self.size, self.bin, self.count
+        if since >= 0:
+            new = np.flatnonzero(self.changed[of] > since)
+            size, of, count = size[new], of[new], count[new]
+        full = fill[of]
+        give = most[count, np.minimum(size + room - full, room)]
+        ok = (give > size + np.maximum(fill[a] - full, 0)) & (of != a)
+        if not ok.any():
+            return None
+        at = np.flatnonzero(ok)
+        at = at[full[at] == full[at].max()]
+        k = at[np.lexsort((count[at], size[at] - give[at]))[0]]
+        return int(of[k]), int(give[k]), int(size[k])
+
+    def picked(self, b: int, size: int) -> list[int]:
+        """No items, an item or two items of bin b of that size in all."""
+        if not size:
+            return []
+        seen: dict[int, int] = {}
+        for i in self.bins[b]:
+            if self.sizes[i] == size:
+                return [i]
+        for i in self.bins[b]:
+            if size - self.sizes[i] in seen:
+                return [seen[size - self.sizes[i]], i]
+            seen[self.sizes[i]] = i
+        raise AssertionError(size)
+
+    def exchange(self, a: int, b: int, give: int, back: int) -> None:
+        out, into = self.picked(a, give), self.picked(b, back)
+        self.bins[a] = [i for i in self.bins[a] if i not in out] + into
+        self.bins[b] = [i for i in self.bins[b] if i not in into] + out
+        self.step += 1
+        kept = (self.bin != a) & (self.bin != b)
+        fresh = []
+        for x, d in ((a, back - give), (b, give - back)):
+            self.fill[x] += d
+            self.changed[x] = self.step
+            if 0 < self.fill[x] < self.room:
+                fresh.append(self.backs(x))
+        parts = zip((self.size, self.bin, self.count), zip(*fresh, strict=True) if fresh else ((), (), ()), strict=True)
+        self.size, self.bin, self.count = (np.concatenate([x[kept], *y]) for x, y in parts)
+
+
+def local_search(bins: list[list[int]], sizes: list[int], room: int) -> list[list[int]]:
+    """Empties bins by exchanges that raise the sum of squared fills, emptiest bins first. It ends when no exchange of
+    two underfull bins raises it, or at the least possible number of bins; a bin without one is tried again with the bins that have changed since."""
+    state = Bins(bins, sizes, room)
+    fill, changed = state.fill, state.changed
+    least = -(-int(fill[:-1].sum()) // room)
     live = len(bins)
-    stuck: set[int] = set()
-    for _ in range(tries):
-        under = sorted((b for b in range(len(bins)) if 0 < fill[b] < room), key=lambda b: (fill[b], b))
-        goal = next((b for b in under if b not in stuck), None)
-        if live <= least or goal is None:
+    tried = np.full(len(bins), -1)
+    while live > least:
+        before = state.step
+        for a in np.argsort(fill[:-1], kind="stable").tolist():
+            while live > least and 0 < fill[a] < room and tried[a] < state.step:
+                got = state.best(a, -1 if changed[a] > tried[a] else int(tried[a]))
+                if got is None:
+                    tried[a] = state.step
+                else:
+                    state.exchange(a, *got)
+                    live -= not fill[a]
+        if state.step == before:
             break
-        better = True
-        while better and bins[goal]:
-            better = False
-            for b in reversed(under):
-                if b == goal or not 0 < fill[b] < room:
-                    continue
-                if step := improve(bins, fill, sizes, room, goal, b):
-                    out, back = step
-                    bins[goal] = [i for i in bins[goal] if i not in out] + back
-                    bins[b] = [i for i in bins[b] if i not in back] + out
-                    d = sum(sizes[i] for i in out) - sum(sizes[i] for i in back)
-                    fill[goal], fill[b] = fill[goal] - d, fill[b] + d
-                    better = True
-                    break
-        if bins[goal]:
-            stuck.add(goal)
-        else:
-            live -= 1
-            stuck.clear()
-    return [b for b in bins if b]
-
-
-def improve(bins: list[list[int]], fill: list[int], sizes: list[int], room: int, a: int, b: int) -> tuple[list[int], list[int]] | None:
-    """Items to take from bin a to b and back: a move, one for one, or two for one; the one that fills b most."""
-    space, best = room - fill[b], (0, None)
-    for i in bins[a]:
-        if best[0] < sizes[i] <= space:
-            best = (sizes[i], ([i], []))
-    if best[1]:
-        return best[1]
-    mine, other = bins[a], bins[b]
-    for i in mine:
-        for j in other:
-            d = sizes[i] - sizes[j]
-            if best[0] < d <= space and fill[b] + d > fill[a]:
-                best = (d, ([i], [j]))
-    for k, i in enumerate(mine):
-        for h in mine[k + 1 :]:
-            for j in other:
-                d = sizes[i] + sizes[h] - sizes[j]
-                if best[0] < d <= space and fill[b] + d > fill[a]:
-                    best = (d, ([i, h], [j]))
-    for i in mine:
-        for k, j in enumerate(other):
-            for h in other[k + 1 :]:
-                d = sizes[i] - sizes[j] - sizes[h]
-                if best[0] < d <= space and fill[b] + d > fill[a]:
-                    best = (d, ([i], [j, h]))
-    return best[1]
+    return [b for b in state.bins if b]
 
 
 def pack(docs: DataFrame, room: int = 1024, end_id: int = 2, path: str | None = None, shard_docs: int = SHARD_DOCS, with_ids: bool = False) -> DataFrame:
