@@ -33,6 +33,28 @@ def test_greedy_equals_sequential(spark):
     assert sorted(x["seq"] for x in lost.collect()) == sorted(set(range(60)) - set(kept))
 
 
+def test_large_files_follow_the_same_rules(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_bytes('{"text": "bir"}\r\n\n"bare string"\nnot json\n[1]\r{"text": "iki"}\n'.encode() * 50)
+    (tmp_path / "b.jsonl").write_bytes('{"text": "ğüş"}\n"İ"\n'.encode("windows-1254"))
+    (tmp_path / "c.csv").write_text('text,n\n"two\nlines",1\nplain,2\nmore,3,4\n' + "row,5\n" * 3000)
+    (tmp_path / "d.tsv").write_text("text\tn\nx y\t1\n")
+    for name in ("e.txt", "f.json", "g.pdf", "h.xml"):
+        (tmp_path / name).write_text('{"text": "whole"}')
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    key = ["source_file", "line_number", "doc_id", "text", "file_type", "metadata", "field_used", "error"]
+    get = lambda **kw: sorted((tuple(r) for r in read_documents(spark, str(tmp_path), **kw).select(*key).collect()), key=str)
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        whole, large = get(), get(size_limit=0)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    lined = lambda rows: [r for r in rows if r[4] in ("jsonl", "csv", "tsv")]
+    assert lined(large) == lined(whole) and len(lined(whole)) > 3200
+    assert len({r[2] for r in lined(large)}) == len(lined(large))
+    rest = [r for r in large if r not in lined(large)]
+    assert len(rest) == 4 and all(r[3] is None and "too large" in r[7] for r in rest)
+
+
 def test_chunks():
     assert dataset.chunked("", 10) == [] and dataset.chunked("abc", 10) == ["abc"]
     text = "aaa. bbb. ccc.\n\ndddd\n\n" + "e" * 30

@@ -9,8 +9,9 @@ from __future__ import annotations
 import csv
 import hashlib
 import io
+import itertools
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -74,36 +75,106 @@ def records(data: bytes, kind: str) -> Iterator[tuple[int | None, str | None, st
         text, meta = pdf_text(data)
         yield None, text, None, meta, None
     elif kind in ("csv", "tsv"):
-        rows = csv.DictReader(io.StringIO(data.decode("utf-8", "replace"), newline=""), delimiter="\t" if kind == "tsv" else ",")
-        try:
-            for k, row in enumerate(rows):
-                yield k + 1, None, json.dumps({str(c): v for c, v in row.items()}, ensure_ascii=False), {}, None
-        except csv.Error as e:
-            yield None, None, None, {}, str(e)
+        yield from table_records(io.StringIO(data.decode("utf-8", "replace"), newline=""), kind)
     else:
         if kind == "json":
             parts = [(None, data.decode("utf-8", "replace"))]
         else:
             parts = [(k + 1, x) for k, x in enumerate(decode(data)[0].split("\n")) if x.strip()]
         for line, part in parts:
-            try:
-                value = json.loads(part)
-            except ValueError as e:
-                yield line, None, None, {}, str(e)
-                continue
-            several = kind == "json" and isinstance(value, list)
-            for k, x in enumerate(value if several else [value]):
-                at = k + 1 if several else line
-                if isinstance(x, dict):
-                    yield at, None, json.dumps(x, ensure_ascii=False), {}, None
-                elif isinstance(x, str) and (several or kind == "jsonl"):
-                    yield at, x, None, {}, None
+            yield from json_records(part, line, kind)
+
+
+def table_records(lines: Iterable[str], kind: str) -> Iterator[tuple[int | None, str | None, str | None, dict, str | None]]:
+    """Those of the lines of a CSV or TSV file, each with its line break."""
+    try:
+        for k, row in enumerate(csv.DictReader(lines, delimiter="\t" if kind == "tsv" else ",")):
+            yield k + 1, None, json.dumps({str(c): v for c, v in row.items()}, ensure_ascii=False), {}, None
+    except csv.Error as e:
+        yield None, None, None, {}, str(e)
+
+
+def json_records(part: str, line: int | None, kind: str) -> Iterator[tuple[int | None, str | None, str | None, dict, str | None]]:
+    """Those of a JSON file, or of a line of a JSONL file."""
+    try:
+        value = json.loads(part)
+    except ValueError as e:
+        yield line, None, None, {}, str(e)
+        return
+    several = kind == "json" and isinstance(value, list)
+    for k, x in enumerate(value if several else [value]):
+        at = k + 1 if several else line
+        if isinstance(x, dict):
+            yield at, None, json.dumps(x, ensure_ascii=False), {}, None
+        elif isinstance(x, str) and (several or kind == "jsonl"):
+            yield at, x, None, {}, None
+
+
+def framed(rows: Iterable[tuple]) -> Iterator[pd.DataFrame]:
+    """Tuples of RECORD's columns in frames of at most 1000 rows."""
+    it = iter(rows)
+    while batch := list(itertools.islice(it, 1000)):
+        yield pd.DataFrame(batch, columns=[c.split()[0] for c in RECORD.split(", ")])
+
+
+def lines_within(data: bytes) -> list[bytes]:
+    """The lines that decode() would see in what stands before a line feed."""
+    return data.removesuffix(b"\r").split(b"\r")
+
+
+def read_large(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """RECORD of a JSONL, CSV or TSV file of any size, by the rules of records(). JSONL is read in splits: a first pass
+    counts lines and tries the encodings. Quotes of a table may span lines, so that one task reads it, as a stream."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("data"))
+
+    def survey(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        count: dict[int, list] = {}
+        for pdf in it:
+            for start, data in zip(pdf["start"].tolist(), pdf["data"], strict=True):
+                x = count.setdefault(start, [0, *[True] * len(ENCODINGS)])
+                x[0] += len(lines_within(bytes(data)))
+                for k, name in enumerate(ENCODINGS):
+                    if x[k + 1]:
+                        try:
+                            bytes(data).decode(name)
+                        except UnicodeDecodeError:
+                            x[k + 1] = False
+        yield pd.DataFrame([(s, x[0], x[1:]) for s, x in count.items()], columns=["start", "n", "fits"])
+
+    def parse(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def rows() -> Iterator[tuple]:
+            at: dict[int, int] = {}
+            for pdf in it:
+                for start, data in zip(pdf["start"].tolist(), pdf["data"], strict=True):
+                    for x in lines_within(bytes(data)):
+                        at[start] = at.get(start, first[start]) + 1
+                        text = x.decode(name or "utf-8", "strict" if name else "replace")
+                        if text.strip():
+                            for line, own, record, meta, error in json_records(text, at[start], kind):
+                                yield path, kind, line, own, record, json.dumps(meta), error
+
+        yield from framed(rows())
+
+    def stream(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        text = ((bytes(x) + b"\n").decode("utf-8", "replace") for pdf in it for x in pdf["data"])
+        whole = (y for x in text for y in io.StringIO(x, newline=""))
+        yield from framed((path, kind, line, own, record, json.dumps(meta), error) for line, own, record, meta, error in table_records(whole, kind))
+
+    if kind != "jsonl":
+        return lines.withColumn("at", F.monotonically_increasing_id()).repartition(1).sortWithinPartitions("start", "at").select("data").mapInPandas(stream, RECORD)
+    first, total, fits = {}, 0, [True] * len(ENCODINGS)
+    for r in sorted(lines.mapInPandas(survey, "start long, n long, fits array<boolean>").collect()):
+        first[r["start"]], total = total, total + r["n"]
+        fits = [a and b for a, b in zip(fits, r["fits"], strict=True)]
+    name = next((e for e, ok in zip(ENCODINGS, fits, strict=True) if ok), None)
+    return lines.mapInPandas(parse, RECORD)
 
 
 def read_documents(spark: SparkSession, path: str, field: str | None = None, size_limit: int = 2**31 - 1) -> DataFrame:
     """doc_id, source_file, file_type, line_number, text, metadata, field_used, error for all supported files.
 
-    Files beyond size_limit, the most that a binary value holds, are read line by line if they are JSONL.
+    Files beyond size_limit, the most that a binary value holds, are read line by line if they are JSONL, CSV or TSV;
+    others, whose record may not fit into a value either, become a row with an error.
     """
     found = discover(spark, path)
     empty = spark.createDataFrame([], RECORD)
@@ -113,23 +184,19 @@ def read_documents(spark: SparkSession, path: str, field: str | None = None, siz
     def read(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             for p, kind, data in zip(pdf["path"], pdf["file_type"], pdf["content"], strict=True):
-                batch = []
-                for line, text, record, meta, error in records(bytes(data), kind):
-                    batch.append((p, kind, line, text, record, json.dumps(meta), error))
-                    if len(batch) == 1000:
-                        yield pd.DataFrame(batch, columns=[c.split()[0] for c in RECORD.split(", ")])
-                        batch = []
-                if batch:
-                    yield pd.DataFrame(batch, columns=[c.split()[0] for c in RECORD.split(", ")])
+                yield from framed((p, kind, line, text, record, json.dumps(meta), error) for line, text, record, meta, error in records(bytes(data), kind))
 
     kinds = F.create_map(*[F.lit(x) for kv in TYPES.items() for x in kv])
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     files = files.select("path", F.try_element_at(kinds, F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))).alias("file_type"), "length", "content").where("file_type is not null")
     small = files.where(F.col("length") <= size_limit).select("path", "file_type", "content").mapInPandas(read, RECORD)
-    large = [r["path"] for r in found.where((F.col("size_bytes") > size_limit) & (F.col("file_type") == "jsonl")).collect()]
-    if large:
-        lines = spark.read.text(large).where(F.trim("value") != "")
-        small = small.unionByName(lines.select(F.col("_metadata.file_path").alias("source_file"), F.lit("jsonl").alias("file_type"), F.lit(None).cast("int").alias("line_number"), F.lit(None).cast("string").alias("text"), F.col("value").alias("record"), F.lit("{}").alias("metadata"), F.when(F.try_parse_json("value").isNull(), "not JSON").alias("error")))
+    large = found.where(F.col("supported") & (F.col("size_bytes") > size_limit))
+    lined = F.col("file_type").isin("jsonl", "csv", "tsv")
+    for r in large.where(lined).collect():
+        small = small.unionByName(read_large(spark, r["path"], r["file_type"]))
+    null = F.lit(None).cast("string")
+    error = F.concat(F.lit("file of "), F.col("size_bytes").cast("string"), F.lit(" bytes is too large to read whole"))
+    small = small.unionByName(large.where(~lined).select(F.col("path").alias("source_file"), "file_type", F.lit(None).cast("int").alias("line_number"), null.alias("text"), null.alias("record"), F.lit("{}").alias("metadata"), error.alias("error")))
     return finish(small, field)
 
 
