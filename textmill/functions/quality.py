@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import unicodedata
 
 from pyspark.sql import Column
@@ -33,9 +34,20 @@ URL = rf"https?://[^\s\x1c-\x1f\x85\p{{Z}}]+|www\.[^\s\x1c-\x1f\x85\p{{Z}}]+"
 
 @functools.cache
 def digits() -> str:
-    """The class of digits: decimal ones and those with a digit value."""
-    extra = "".join(f"\\x{{{i:x}}}" for i in range(0x110000) if unicodedata.category(chr(i)) == "No" and chr(i).isdigit())
-    return rf"[\p{{Nd}}{extra}]"
+    """The class of digits: decimal ones and those with a digit value. ASCII is decided first, since a class of many
+    ranges is slow."""
+    extra = [i for i in range(128, 0x110000) if unicodedata.category(chr(i)) == "No" and chr(i).isdigit()]
+    runs = [list(g) for _, g in itertools.groupby(extra, key=lambda i, n=itertools.count(): i - next(n))]
+    more = "".join(f"\\x{{{r[0]:x}}}-\\x{{{r[-1]:x}}}" for r in runs)
+    return rf"[0-9]|(?![\x00-\x7f])[\p{{Nd}}{more}]"
+
+
+@functools.cache
+def ascii_known() -> list[str]:
+    """What becomes a frequent word or a letter of Turkish when its ASCII letters take their Turkish forms."""
+    back = {ord(t): (a, t) for a, t in zip(*ASCII_FORMS, strict=True)}
+    words = [w for w in [*COMMON, *LETTERS] if not set(w) & set(ASCII_FORMS[0])]
+    return sorted("".join(x) for w in words for x in itertools.product(*(back.get(ord(c), c) for c in w)))
 
 
 def share(hits: Column, all_: Column) -> Column:
@@ -43,20 +55,27 @@ def share(hits: Column, all_: Column) -> Column:
     return F.coalesce(hits.cast("double") / F.nullif(all_, F.lit(0)), F.lit(0.0))
 
 
+def taken(t: Column, pattern: str) -> Column:
+    """Characters in matches of the pattern."""
+    return F.length(t) - F.length(F.regexp_replace(t, pattern, ""))
+
+
 def language(c: Column) -> Column:
     """struct(confidence, code): tr, tr_ascii, tr_low, non_tr or unknown."""
-    return let(words(c), lambda w: _language(text_of(c), w))
-
-
-def _language(t: Column, w: Column) -> Column:
-    n = F.size(w)
-    marks = F.regexp_count(t, F.lit(f"[{LETTERS}]"))
-    common = F.array(*map(F.lit, COMMON))
-    known = F.size(F.filter(w, lambda x: F.array_contains(common, x)))
-    adapted = F.transform(w, lambda x: F.translate(x, *ASCII_FORMS))
-    also = F.array(*map(F.lit, [*COMMON, *LETTERS]))
-    asc = F.size(F.filter(adapted, lambda x: F.array_contains(also, x)))
-    mark_ratio, word_ratio, ascii_ratio = share(marks, F.length(t)), share(known, n), share(asc, n)
+    return let(words(c), lambda w: let(_signals(text_of(c), w), _language))
+
+
+def _signals(t: Column, w: Column) -> Column:
+    """struct of word, letter and hit counts, each taken once."""
+    marks = taken(t, f"[{LETTERS}]+")
+    known = F.size(F.filter(w, lambda x: x.isin(COMMON)))
+    asc = F.size(F.filter(w, lambda x: x.isin(ascii_known())))
+    return F.struct(F.size(w).alias("n"), marks.alias("marks"), known.alias("known"), asc.alias("asc"), F.length(t).alias("chars"))
+
+
+def _language(x: Column) -> Column:
+    n, marks, known = x["n"], x["marks"], x["known"]
+    mark_ratio, word_ratio, ascii_ratio = share(marks, x["chars"]), share(known, n), share(x["asc"], n)
     out = lambda conf, code: F.struct(conf.alias("confidence"), F.lit(code).alias("code"))
     return (
         F.when(n == 0, out(F.lit(0.0), "unknown"))
@@ -69,31 +88,30 @@ def _language(t: Column, w: Column) -> Column:
 
 def junk_reason(c: Column, max_repeat: int = 8) -> Column:
     """The first reason that holds, or ''."""
-    t = text_of(c)
-    s = strip(t)
-    w = tokens(F.lower(s))
-    low = F.lower(t)
-    phrases = functools.reduce(lambda a, b: a + b, [F.contains(low, F.lit(k)).cast("int") for k in JUNK])
+    return let(text_of(c), lambda t: let(strip(t), lambda s: _reason(t, s, max_repeat)))
+
+
+def _reason(t: Column, s: Column, max_repeat: int) -> Column:
+    phrases = let(F.lower(t), lambda low: functools.reduce(lambda a, b: a + b, [F.contains(low, F.lit(k)).cast("int") for k in JUNK]))
+    two = lambda w: (F.size(w) > 10) & (F.size(F.array_distinct(w)) <= 2)
+    start = F.slice(F.split(F.lower(s), f"{SPACE}+", 12), 1, 11)  # more than two words here decide it for any text
     return (
         F.when(s == "", "EMPTY")
         .when(t.rlike(rf"([^\n])\1{{{max_repeat},}}"), "REPEATED_CHARACTERS")
         .when((F.length(s) < 50) & s.rlike(rf"(?iu)\A[{MASH}]+\z"), "KEYBOARD_MASH")
-        .when((F.size(w) > 10) & (F.size(F.array_distinct(w)) <= 2), "REPEATED_WORD_SPAM")
+        .when(two(start) & two(tokens(F.lower(s))), "REPEATED_WORD_SPAM")
         .when(phrases >= 2, "SPAM_KEYWORDS")
-        .when(~t.rlike(r"\p{L}") & (F.length(t) > 10), "NO_ALPHABETIC_CHARACTERS")
+        .when((F.length(t) > 10) & ~t.rlike(r"\p{L}"), "NO_ALPHABETIC_CHARACTERS")
         .otherwise("")
     )
 
 
 def ratios(c: Column) -> Column:
     """struct of alpha, digit, punct and url: their characters over all."""
-    t = text_of(c)
-    n = F.length(t)
-    count = lambda p: F.regexp_count(t, F.lit(p))
-    return F.struct(
-        share(count(r"\p{L}"), n).alias("alpha"), share(count(digits()), n).alias("digit"),
-        share(count(rf"[^\p{{L}}\p{{N}}\s\x1c-\x1f\x85\p{{Z}}]"), n).alias("punct"), share(n - F.length(F.regexp_replace(t, URL, "")), n).alias("url"),
-    )
+    return let(text_of(c), lambda t: let(F.length(t), lambda n: F.struct(
+        share(F.length(F.regexp_replace(t, r"[^A-Za-z\p{L}]+", "")), n).alias("alpha"), share(taken(t, digits()), n).alias("digit"),
+        share(taken(t, r"[^A-Za-z0-9\p{L}\p{N}\s\x1c-\x1f\x85\p{Z}]+"), n).alias("punct"), share(taken(t, URL), n).alias("url"),
+    )))
 
 
 def word_count(c: Column) -> Column:
@@ -116,16 +134,14 @@ def with_quality(df, text: str, cfg: Quality = Quality(), into: str = "quality")
     """Adds a struct: score, char_count, word_count, lang_confidence, lang_code, is_spam, spam_reason and ratios."""
     t = F.col(text)
     parts = F.struct(language(t).alias("lang"), junk_reason(t, cfg.max_repeated_char_count).alias("reason"), ratios(t).alias("r"), word_count(t).alias("words"), F.length(text_of(t)).alias("chars"))
-    df = df.withColumn("_q", parts)
-    q = F.col("_q")
-    empty = q["reason"] == "EMPTY"
-    some = lambda c, none: F.when(empty, F.lit(none)).otherwise(c)
-    return df.withColumn(into, F.struct(
+    some = lambda q, c, none: F.when(q["reason"] == "EMPTY", F.lit(none)).otherwise(c)
+    whole = lambda q: F.struct(
         score(q["chars"], q["words"], q["lang"]["confidence"], q["reason"], q["r"], cfg).alias("score"), q["chars"].alias("char_count"), q["words"].alias("word_count"),
-        some(q["lang"]["confidence"], 0.0).alias("lang_confidence"), some(q["lang"]["code"], "unknown").alias("lang_code"),
-        some(q["reason"] != "", False).alias("is_spam"), some(q["reason"], "").alias("spam_reason"),
-        *[some(q["r"][k], 0.0).alias(f"{k}_ratio") for k in ("alpha", "punct", "digit", "url")],
-    )).drop("_q")
+        some(q, q["lang"]["confidence"], 0.0).alias("lang_confidence"), some(q, q["lang"]["code"], "unknown").alias("lang_code"),
+        some(q, q["reason"] != "", False).alias("is_spam"), some(q, q["reason"], "").alias("spam_reason"),
+        *[some(q, q["r"][k], 0.0).alias(f"{k}_ratio") for k in ("alpha", "punct", "digit", "url")],
+    )
+    return df.withColumn(into, let(parts, whole))
 
 
 def token_estimate(c: Column) -> Column:
@@ -139,4 +155,5 @@ def raw_hash(c: Column) -> Column:
 
 
 def normalized_hash(c: Column) -> Column:
-    return F.sha2(F.regexp_replace(F.lower(strip(text_of(c))), f"{SPACE}+", " ").cast("binary"), 256)
+    """Never null, and declared so: a join on it needs no filter that takes the hash again at the scan."""
+    return F.coalesce(F.sha2(F.regexp_replace(F.lower(strip(text_of(c))), f"{SPACE}+", " ").cast("binary"), 256), F.lit(""))

@@ -1,6 +1,6 @@
 """Cleaning: encoding repair, Unicode, markup and white space, as Column functions.
 
-Null counts as empty text throughout. Character classes follow Python's: see SPACE and WORD.
+Null counts as empty text throughout. Character classes follow Python's: see SPACE and NO_WORD.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from textmill.config import Cleaning
 #: What counts as white space, and the same without the line feed.
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
 SPACE_IN_LINE = r"[\t\x0b\x0c\r\x1c-\x1f\x85\p{Z}]"
-WORD = r"[\p{L}\p{N}_]+"
+NO_WORD = r"[^a-z0-9\p{L}\p{N}_]+"
 
 # Damaged sequences and what they stand for, in the order of their replacement.
 MOJIBAKE = [
@@ -59,12 +59,12 @@ def strip(c: Column) -> Column:
 
 def words(c: Column) -> Column:
     """Word runs of the lower-cased text."""
-    return F.regexp_extract_all(F.lower(text_of(c)), F.lit(f"({WORD})"), F.lit(1))
+    return F.array_remove(F.split(F.lower(text_of(c)), NO_WORD), "")
 
 
 def tokens(c: Column) -> Column:
     """Runs without white space."""
-    return F.filter(F.split(text_of(c), rf"{SPACE}+"), lambda w: w != "")
+    return F.array_remove(F.split(text_of(c), rf"{SPACE}+"), "")
 
 
 def broken_encoding(c: Column) -> Column:

@@ -36,8 +36,11 @@ def against_history(df: DataFrame, history: DataFrame) -> DataFrame:
 
 def grams(w: Column, n: int = 2) -> Column:
     """Word n-grams of a column of words; fewer words than n give one gram of them all, none give none. Words should
-    be a plain column, since they are used more than once."""
-    slide = F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.concat_ws(" ", F.slice(w, i, n)))
+    be a plain column, since they are used more than once. Shifted arrays are zipped: a slice for each gram would copy
+    all words each time."""
+    slide = F.slice(w, F.lit(1), F.greatest(F.size(w) - n + 1, F.lit(0)))
+    for k in range(1, n):
+        slide = F.zip_with(slide, F.slice(w, F.lit(k + 1), F.greatest(F.size(w) - n + 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
     return F.when(F.size(w) >= n, slide).when(F.size(w) > 0, F.array(F.concat_ws(" ", w))).otherwise(F.array().cast("array<string>"))
 
 

@@ -10,6 +10,7 @@ from textmill.functions import records
 from textmill.functions import text as T
 from textmill.operators import dataset, dedup
 from textmill.plans import build
+from textmill.session import materialized, spread
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -21,7 +22,7 @@ def query(f):
 
 
 def docs(spark: SparkSession, d: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/documents.parquet")
+    return spread(spark.read.parquet(f"{d}/documents.parquet"))
 
 
 # SQL pieces. The tables' white space is ASCII and U+00A0 at most, so that RE2's classes suffice.
@@ -169,7 +170,7 @@ ORACLES["lang_detect"] = f"{_DOCS}, {_LANG} SELECT doc_id, confidence, code FROM
 @query
 def lang_summary(spark, d):
     """Cleaned space, length gate, exact deduplication, language counts."""
-    rows = docs(spark, d).select(F.col("doc_id").alias("seq"), T.even_space(F.col("text")).alias("text")).where(F.length("text") >= 50)
+    rows = materialized(docs(spark, d).select(F.col("doc_id").alias("seq"), T.even_space(F.col("text")).alias("text")), "even").where(F.length("text") >= 50)
     return dedup.mark_exact(rows, "text").where("not is_duplicate").groupBy(Q.language(F.col("text"))["code"].alias("code")).agg(F.count("*").alias("n"))
 
 
@@ -283,7 +284,7 @@ ORACLES["near_pairs"] = f"WITH d AS ({_FIRSTS}), {_signature()}, {_BANDS} SELECT
 
 @query
 def near_dedup(spark, d):
-    rows = dedup.mark_exact(_long(spark, d), "text").where("not is_duplicate")
+    rows = materialized(dedup.mark_exact(_long(spark, d), "text"), "exact").where("not is_duplicate")
     return dedup.mark_near(rows, "text").select(F.col("seq").alias("doc_id"), "is_near_duplicate")
 
 

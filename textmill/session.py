@@ -37,3 +37,10 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/textmill/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt over all cores where its files split into fewer parts than two for each core, as small tables of one
+    row group do; larger tables stay as they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < 2 * cores else df
