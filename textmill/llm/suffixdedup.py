@@ -113,7 +113,7 @@ def gathered(batches: Iterator[pa.RecordBatch], kinds: dict[str, str], passed: s
     return {n: np.frombuffer(b"".join(parts[n]), kind) for n, kind in kinds.items()}, rest
 
 
-PLACES = {"doc": "<i8", "tie": "<u4", "pos": "<u4"}
+PLACES = {"doc": "<i8", "tie": "<i8", "pos": "<u4"}
 
 
 def firsts(group: np.ndarray, doc: np.ndarray, tie: np.ndarray, pos: np.ndarray) -> np.ndarray:
@@ -136,7 +136,7 @@ def flags_of(doc: np.ndarray, tie: np.ndarray, lo: np.ndarray, hi: np.ndarray) -
     apart = np.append(True, (doc[1:] != doc[:-1]) | (tie[1:] != tie[:-1]) | (lo[1:] > hi[:-1] + 1))
     at = np.flatnonzero(apart)
     end = np.maximum.reduceat(hi, at)
-    yield pa.RecordBatch.from_pydict({"doc": pa.array(doc[at]), "tie": pa.array(tie[at].astype(np.int64)), "lo": pa.array(lo[at].astype(np.int32)), "hi": pa.array(end.astype(np.int32))})
+    yield pa.RecordBatch.from_pydict({"doc": pa.array(doc[at]), "tie": pa.array(tie[at]), "lo": pa.array(lo[at].astype(np.int32)), "hi": pa.array(end.astype(np.int32))})
 
 
 def lists(column: pa.Array) -> Iterator[np.ndarray]:
@@ -150,7 +150,7 @@ def keyed(docs: DataFrame, *more: Column) -> DataFrame:
     bounded_batches(docs.sparkSession)
     body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body.alias("body"), *more)
-    return rows.withColumns({"doc": F.coalesce("doc_id", F.lit(LOWEST)), "tie": F.shiftrightunsigned(F.xxhash64("body"), 34)})
+    return rows.withColumns({"doc": F.coalesce("doc_id", F.lit(LOWEST)), "tie": F.xxhash64("body")})
 
 
 def told(**columns: np.ndarray) -> pa.RecordBatch:
@@ -227,7 +227,7 @@ def repeats(rows: DataFrame, hot: np.ndarray) -> DataFrame:
                     late.append(x[:4])
             if late:
                 a = np.array(late, np.int64)
-                out.add(int(a[0, 1] % parts), kind=b"late", doc=a[:, 0], tie=a[:, 1].astype("<u4"), pos=a[:, 2].astype("<u4"), hi=a[:, 3].astype("<u4"))
+                out.add(int(a[0, 1] % parts), kind=b"late", doc=a[:, 0], tie=a[:, 1], pos=a[:, 2].astype("<u4"), hi=a[:, 3].astype("<u4"))
             own = list(first.values())
             h = np.array([x[4] for x in own], np.uint64)
             a = np.array([x[:4] for x in own], np.int64).reshape(-1, 4)
@@ -236,14 +236,14 @@ def repeats(rows: DataFrame, hot: np.ndarray) -> DataFrame:
             for k, part in split_by((mixed(h[cold]) % np.uint64(parts)).astype(np.int64)):
                 i = cold[part]
                 i = i[np.argsort(h[i], kind="stable")]  # like texts together, for compression
-                out.add(k, kind=b"text", text=squeeze.compress(b"".join(own[j][5] for j in i.tolist())), doc=a[i, 0], tie=a[i, 1].astype("<u4"), pos=a[i, 2].astype("<u4"), hi=(a[i, 3] - a[i, 2]).astype("<u4"))
+                out.add(k, kind=b"text", text=squeeze.compress(b"".join(own[j][5] for j in i.tolist())), doc=a[i, 0], tie=a[i, 1], pos=a[i, 2].astype("<u4"), hi=(a[i, 3] - a[i, 2]).astype("<u4"))
             digest = xxhash.xxh3_128_digest
             wins = [(j, s) for j in np.flatnonzero(warm).tolist() for s in range(len(own[j][5]) - WIDTH + 1)]
             f = np.frombuffer(b"".join(digest(own[j][5][s : s + WIDTH]) for j, s in wins), "<u8").reshape(-1, 2)
             w = np.array(wins, np.int64).reshape(-1, 2)
             for k, part in split_by((f[:, 0] % np.uint64(parts)).astype(np.int64)):
                 i = w[part, 0]
-                out.add(k, kind=b"hash", h=f[part, 0], g=f[part, 1], doc=a[i, 0], tie=a[i, 1].astype("<u4"), pos=(a[i, 2] + w[part, 1]).astype("<u4"))
+                out.add(k, kind=b"hash", h=f[part, 0], g=f[part, 1], doc=a[i, 0], tie=a[i, 1], pos=(a[i, 2] + w[part, 1]).astype("<u4"))
             yield out.batch()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

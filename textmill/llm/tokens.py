@@ -30,6 +30,9 @@ def byte_of() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+BYTE_OF = byte_of()
+
+
 class Tokens:
     """ids(text) equals tokenizers' encode(text, add_special_tokens=False) with special strings as ordinary text."""
 
@@ -55,8 +58,13 @@ class Tokens:
 
             self.slow = Tokenizer.from_file(path)
             self.slow.encode_special_tokens = True
+        self.names = {v: k for k, v in vocab.items()}
         self.sizes: dict[str, int] = {}
 
+    def bytes_of(self, i: int) -> bytes:
+        """The bytes that an id of a byte-level vocabulary stands for; other characters of its name as UTF-8."""
+        return b"".join(bytes([BYTE_OF[c]]) if c in BYTE_OF else c.encode() for c in self.names.get(i, ""))
+
     def ids(self, text: str) -> np.ndarray:
         if self.fast:
             return np.array(self.fast.encode_to_numpy(text), np.uint32) if text else np.zeros(0, np.uint32)
