@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import struct
 import zlib
 from collections import Counter
 from types import SimpleNamespace
@@ -37,10 +38,11 @@ def docs(spark):
 
 OPERATORS = {
     "contamination": lambda s, d: contamination.contamination(d, s.createDataFrame([("i", "c d e f g h i j k"), (None, "q"), ("z", None)], "item_id string, text string")),
-    "counts": lambda s, d: tokencount.edited_counts(d),
+    "counts": lambda s, d: tokencount.edited_counts(tokencount.trees(d)),
     "quality": lambda s, d: quality.score_quality(d, s.createDataFrame([(5, 1), (None, 0), (7, None)], "doc_id long, quality int")),
     "language": lambda s, d: langid.language_report(d.withColumn("lang", F.lit("en"))),
-    "tiff": lambda s, d: tiff.read_media(tiff.to_media(d)),
+    "tiff": lambda s, d: tiff.digests(tiff.read_pages(tiff.to_media(d))),
+    "packing": lambda s, d: packing.pack(d).where("piece = 0").drop("sequence_id", "offset"),
     "suffix": lambda s, d: suffixdedup.without_repeats(d),
     "simhash": lambda s, d: simhash.near_copies(d),
     "lm": lambda s, d: lm.score_corpus(d),
@@ -76,6 +78,8 @@ def test_token_tree_equals_recount():
         s = "".join(r.choice(alpha) for _ in range(r.randint(0, 400)))
         assert tok.ids(s).tolist() == own.encode(s, add_special_tokens=False).ids
         tree = tokencount.TokenTree(s, tok)
+        if r.random() < 0.7:  # as kept in a row
+            tree = tokencount.TokenTree.kept(s, *tree.rows(), tok)
         for _ in range(3):
             a = r.randint(0, len(s))
             b, new = r.randint(a, min(len(s), a + r.choice([0, 3, 200]))), "".join(r.choice(alpha) for _ in range(r.choice([0, 1, 5, 300])))
@@ -125,17 +129,77 @@ def test_local_search_runs_to_its_end():
     assert len(bins) == -(-sum(sizes) // room) or all(state.best(b, -1) is None for b in under)
 
 
-def test_tiff_round_trip(spark):
+def test_tiff_round_trip():
     r = np.random.default_rng(1)
     pages = [r.integers(0, 4, (h, w)).astype(np.uint8) * (h % 3) for h, w in ((1, 1), (70, 33), (300, 576))]
     for kind in (tiff.NONE, tiff.PACKBITS, tiff.LZW, tiff.DEFLATE):
         for tile in (0, 64):
             for predictor in (1, 2):
-                back = list(tiff.read_tiff(tiff.write_tiff(pages, kind, predictor, 32, tile)))
-                assert len(back) == 3 and all((a == b).all() for a, b in zip(back, pages, strict=True))
+                for big in (False, True):
+                    back = list(tiff.read_tiff(tiff.write_tiff(pages, kind, predictor, 32, tile, big)))
+                    assert len(back) == 3 and all((a == b).all() for a, b in zip(back, pages, strict=True))
     noise = r.integers(0, 256, (200, 200)).astype(np.uint8)
     assert (next(tiff.read_tiff(tiff.write_tiff([noise], tiff.LZW))) == noise).all()
-    assert spark.createDataFrame([(b"no",), (None,)], "media binary").transform(tiff.read_media).where("pages is null").count() == 2
+
+
+def tiff_of(order, tags, data):
+    """A page with these tags, and its data from byte 8 on."""
+    out = (b"MM\0*" if order == ">" else b"II*\0") + struct.pack(order + "I", 8 + len(data)) + data + struct.pack(order + "H", len(tags))
+    for tag, value in sorted(tags.items()):
+        out += struct.pack(order + "HHII", tag, 4, 1, value)
+    return out + b"\0\0\0\0"
+
+
+def test_tiff_kinds_of_samples():
+    own = {256: 3, 257: 2, 259: 1, 262: 1, 273: 8, 278: 2}
+    bits = next(tiff.read_tiff(tiff_of("<", own | {258: 1, 279: 2}, bytes([0b10100000, 0b01000000]))))
+    assert bits.tolist() == [[1, 0, 1], [0, 1, 0]]
+    four = next(tiff.read_tiff(tiff_of(">", own | {258: 4, 279: 4}, bytes([0x12, 0x30, 0x45, 0x60]))))
+    assert four.tolist() == [[1, 2, 3], [4, 5, 6]]
+    for order in "<>":
+        deep = next(tiff.read_tiff(tiff_of(order, own | {258: 16, 279: 12}, struct.pack(order + "6H", 1, 2, 3, 400, 500, 600))))
+        assert deep.tolist() == [[1, 2, 3], [400, 500, 600]]
+    colour = next(tiff.read_tiff(tiff_of("<", own | {258: 8, 277: 3, 279: 18, 317: 2}, bytes([1, 2, 3] * 6))))
+    assert colour.tolist() == [[[1, 2, 3], [2, 4, 6], [3, 6, 9]]] * 2
+
+
+def test_tiff_takes_any_bytes():
+    own = {256: 3, 257: 2, 258: 8, 259: 1, 273: 8, 278: 2, 279: 6}
+    for bad in ({256: 0}, {257: 0}, {278: 0}, {256: 200_000, 257: 2_000_000}, {258: 3}, {259: 99}, {279: 5}, {259: 8}, {259: 5}, {317: 3}, {273: 10**6}, {277: 0}):
+        assert [type(x) for x in tiff.read_tiff(tiff_of("<", own | bad, b"abcdef"))] == [str], bad
+    whole = tiff.write_tiff([np.arange(600, dtype=np.uint8).reshape(20, 30)] * 2, tiff.LZW)
+    r = np.random.default_rng(2)
+    for _ in range(600):
+        x = bytearray(whole)
+        for k in r.integers(0, len(x), r.integers(1, 6)):
+            x[k] = r.integers(0, 256)
+        assert list(tiff.read_tiff(bytes(x[: r.integers(0, len(x) + 1)])))
+
+
+def test_tiff_rows(spark):
+    two = tiff.write_tiff([np.zeros((2, 2), np.uint8), np.ones((3, 4), np.uint8)])
+    rows = spark.createDataFrame([(1, b"no", "x"), (2, None, "y"), (3, two, "z"), (3, two, "z")], "id long, media binary, width string")
+    got = [(r["id"], r["page"], r["width"], r["height"], r["error"] is None, r["media"] is None) for r in tiff.read_pages(rows).collect()]
+    page = [(3, 0, 2, 2, True, False), (3, 1, 4, 3, True, True)]
+    assert sorted(got, key=str) == sorted([(1, 0, None, None, False, False), (2, 0, None, None, False, True), *page, *page], key=str)
+
+
+def test_media_query_equals_a_recount(spark, docs):
+    long_ = spark.createDataFrame([(10**6 + k, ("línea %d " % k) * n) for k, n in enumerate((0, 1, 100, 8000, 40_000))], "doc_id long, text string")
+    d = docs.select("doc_id", "text").union(long_).union(spark.createDataFrame([(None, None), (None, "")], "doc_id long, text string"))
+    got = {(r["doc_id"], r["n_bytes"]): r for r in tiff.digests(tiff.read_pages(tiff.to_media(d))).collect()}
+    rows = d.collect()
+    assert len(got) == len(rows) - 1  # two of no text and no id
+    for r in rows:
+        body = (r["text"] or "").encode()
+        lines = max(1, -(-len(body) // 576))
+        payload = body + b"\xff" * (lines * 576 - len(body))
+        x, image = got[r["doc_id"], len(body)], np.frombuffer(payload, np.uint8).reshape(lines, 576)
+        assert (x["payload_bytes"], x["payload_sha256"], x["tail_crc32"]) == (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
+        media = tiff.stored_image(image, 128)
+        assert (x["media_bytes"], x["media_sha256"]) == (len(media), hashlib.sha256(media).hexdigest())
+        pages = [image[y : y + 128] for y in range(0, lines, 128)]
+        assert x["feature"] == " ".join(f"576,{len(p)},{p.mean():.4f},{p.std():.4f},{len(set(p.ravel().tolist()))}" for p in pages)
 
 
 def test_chat(spark):
@@ -159,10 +223,32 @@ def repeats(rows):
     return out
 
 
+def test_sorted_blocks():
+    r = np.random.default_rng(8)
+    body = r.integers(97, 99, 400).astype(np.uint8)
+    for text in (np.tile(body, 8), r.integers(97, 100, 3000).astype(np.uint8), np.full(700, 97, np.uint8)):
+        raw, size = text.tobytes(), len(text)
+        padded = np.concatenate([text, np.zeros(2 * suffixes.PERIOD + 100, np.uint8)])
+        starts = np.arange(size)
+        for block in (50, 333, 10_000):
+            got = np.concatenate(list(suffixes.sorted_blocks(padded, size, starts, block=block))).tolist()
+            assert got == sorted(range(size), key=lambda i: raw[i:] + b"\0" * 200)
+
+
+def test_equal_texts_and_groups_of_windows():
+    r = np.random.default_rng(9)
+    texts = [bytes(r.integers(0, 3, n).astype(np.uint8)) for n in r.integers(0, 5, 300)] + [b"a" * n for n in (31, 32, 33, 64, 64, 31)] + [b"a" * 31 + b"\0", b"a" * 170, b"a" * 169 + b"b", b"a" * 170]
+    same = suffixdedup.classes(texts).tolist()
+    assert all((texts[i] == texts[j]) == (same[i] == same[j]) for i in range(len(texts)) for j in range(i))
+    for lo, hi, anchor in ((3, 70, 71), (5, 5, 40), (10, 33, 33)):
+        got = list(suffixdedup.grouped(anchor, lo, hi))
+        assert sorted(w for _, (a, z) in got for w in range(a, z + 1)) == list(range(lo, hi + 1))
+        assert all(w <= g and g + suffixdedup.WIDTH - suffixdedup.STEP + 1 <= w + suffixdedup.WIDTH for g, (a, z) in got for w in range(a, z + 1))
+
+
 @pytest.mark.parametrize("hot", [256, 4])
 def test_repeats(spark, docs, monkeypatch, hot):
     monkeypatch.setattr(suffixdedup, "HOT", hot)
-    monkeypatch.setattr(suffixes, "BLOCK", 2000)
     d = docs.select("doc_id", "text")
     extra = spark.createDataFrame([(1000 + k, ("ab " * 90 + f"{k} passage ") * 2 + "a common passage of well over one hundred bytes that stands in many of the documents here, at their end " * (k % 3)) for k in range(40)], "doc_id long, text string")
     d = d.union(extra)
@@ -282,7 +368,7 @@ def test_slopes_of_the_network():
             x[k] = old
 
 
-def test_learning_helps_and_grows_with_the_corpus(spark, monkeypatch):
+def test_learning_helps_on_rows_kept_apart(spark):
     """On rows kept apart from the training rows (fold 1 of 7, which no setting was chosen on)."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where(util.fold(F.col("doc_id"), 7) != 2)
     rows = suffixdedup.keyed(docs).withColumn("held", util.fold(F.col("doc_id"), 7) == 1)
@@ -294,7 +380,7 @@ def test_learning_helps_and_grows_with_the_corpus(spark, monkeypatch):
     after = lm.trained(learn, path, 50_256)
     assert lm.score_texts(after, [after.row[x] for x in apart]).sum() > 0.8 * plain
     same = {k: x.copy() for k, x in after.p.items()}
-    lm.learnt(after, learn, 0.1, 0.3, 1e-3)
+    lm.learnt(after, util.stored(lm.sampled(learn, after.row, 40_000), "more"), 0, 3)
     assert all((same[k] != x).any() for k, x in after.p.items())
     assert lm.score_texts(after, [after.row[x] for x in apart]).sum() > 0.8 * plain
 

@@ -2,7 +2,7 @@
 
 Counts of hashed n-grams per language come from all training rows in one pass: each worker adds its batches into
 one matrix and hands on only the matrix. The log-probability matrix (languages x 2^bits, fixed size) is broadcast
-and scores whole texts in batches.
+and scores whole texts in batches: sparse n-gram counts times the matrix.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from textmill.llm.util import bounded_batches, fold, id_text
 BITS = 15
 #: Code points scored at a time: bounds memory for texts of any length.
 CHUNK = 1 << 20
+#: Texts of one sparse product.
+TEXTS = 128
 
 
 def grams(text: str, bits: int = BITS) -> Iterator[np.ndarray]:
@@ -70,6 +72,27 @@ def train(docs: DataFrame, bits: int = BITS) -> dict:
     return {"langs": langs, "logp": logp.astype(np.float32), "prior": np.log(np.maximum(prior, 1) / max(1, prior.sum()))}
 
 
+def sparse(texts: list[str], bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The texts' n-gram counts as rows of a sparse matrix: slots and counts of all rows, and where each row starts."""
+    slot, n, size = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [0]
+    for t in texts:
+        c = counts(t, bits)
+        slot.append(np.flatnonzero(c))
+        n.append(c[slot[-1]])
+        size.append(len(slot[-1]))
+    return np.concatenate(slot), np.concatenate(n), np.cumsum(size)
+
+
+def products(model: dict, texts: list[str], bits: int = BITS) -> np.ndarray:
+    """Log prior and likelihood of each language for each text: the sparse counts times the dense matrix."""
+    out = np.empty((len(texts), len(model["prior"])))
+    for at in range(0, len(texts), TEXTS):
+        slot, n, start = sparse(texts[at : at + TEXTS], bits)
+        each = np.concatenate([np.zeros((1, out.shape[1])), np.cumsum(model["logp"][slot] * n[:, None], axis=0, dtype=np.float64)])
+        out[at : at + TEXTS] = model["prior"] + each[start[1:]] - each[start[:-1]]
+    return out
+
+
 def identify(docs: DataFrame, model: dict, bits: int = BITS) -> DataFrame:
     """doc_id, lang_pred, score (posterior of lang_pred; 0 for `und`) for each row of docs(doc_id, text).
 
@@ -81,25 +104,16 @@ def identify(docs: DataFrame, model: dict, bits: int = BITS) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
         for b in batches:
-            pred, prob = [], []
-            for body in b.column("body").to_pylist():
-                text = body.decode("utf-8", "replace")
-                if not m["langs"] or not any(map(str.isalpha, text)):
-                    pred.append("und")
-                    prob.append(0.0)
-                    continue
-                s = m["prior"].copy()
-                for g in grams(text, bits):
-                    if len(g) > len(m["logp"]):
-                        c = np.bincount(g, minlength=len(m["logp"]))
-                        k = np.flatnonzero(c)
-                        s += c[k] @ m["logp"][k].astype(np.float64)
-                    else:
-                        s += m["logp"][g].sum(0, dtype=np.float64)
-                p = np.exp(s - s.max())
-                k = int(p.argmax())
-                pred.append(m["langs"][k])
-                prob.append(float(p[k] / p.sum()))
+            texts = [x.decode("utf-8", "replace") for x in b.column("body").to_pylist()]
+            pred, prob = ["und"] * len(texts), np.zeros(len(texts))
+            some = [k for k, t in enumerate(texts) if m["langs"] and any(map(str.isalpha, t))]
+            if some:
+                s = products(m, [texts[k] for k in some], bits)
+                share = np.exp(s - s.max(1, keepdims=True))
+                best = share.argmax(1)
+                prob[some] = share[np.arange(len(some)), best] / share.sum(1)
+                for k, j in zip(some, best.tolist(), strict=True):
+                    pred[k] = m["langs"][j]
             yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "lang_pred": pa.array(pred, pa.string()), "score": pa.array(prob, pa.float64())})
 
     return id_text(docs).mapInArrow(score, "doc_id long, lang_pred string, score double")

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from textmill.llm import chat, contamination, langid, lm, packing, quality, simhash, suffixdedup, tiff, tokencount
-from textmill.llm.util import documents
+from textmill.llm.util import documents, stored
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,7 +13,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokencount.edited_counts(documents(spark, sf_dir))
+    return tokencount.edited_counts(stored(tokencount.trees(documents(spark, sf_dir)), "trees"))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,16 +29,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = tiff.read_media(tiff.to_media(documents(spark, sf_dir)))
-    payload = F.expr("aggregate(pages, cast('' as binary), (a, x) -> concat(a, x.samples))")
-    feature = F.expr("concat_ws(' ', transform(pages, x -> concat_ws(',', x.width, x.height, round(x.mean, 4), round(x.spread, 4), x.levels)))")
-    whole = pages.select("doc_id", "n_bytes", F.col("media"), payload.alias("payload"), feature.alias("feature"))
-    return whole.select(
-        "doc_id", "n_bytes",
-        F.length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"),
-        F.crc32(F.substring("payload", -32, 32)).alias("tail_crc32"),
-        F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature",
-    )
+    return tiff.digests(tiff.read_pages(tiff.to_media(documents(spark, sf_dir))))
 
 
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,12 +3,13 @@
 1. Anchors. In each window of `WIDTH` bytes the 32-byte piece of least hash is the window's anchor, so equal
    windows have equal anchors at equal places. Anchors (about one in 35 bytes) meet by hash, as packed arrays in
    which each batch names a hash once; only those that occur twice stay.
-2. Contexts. A kept anchor's context is the text of all windows that it anchors. Equal contexts keep their first
-   place, in the batch and then in the bucket; for the others all windows are repeats.
-3. Suffix sorting. Each bucket of anchors sorts the windows of its distinct contexts in blocks (suffixes.py);
-   neighbours with the same bytes form a class, and all but its first place are repeats.
-   Anchors that hold more than a millionth of all occurrences (at most 10^6 of them) are not sent to one bucket:
-   their windows, after equal contexts are merged, go out by a 128-bit hash of their bytes.
+2. Contexts. A kept anchor's context is the text of all windows that it anchors. Contexts are sorted as suffixes of
+   their batch; of equal ones all but the first place are repeats, and the first goes on.
+3. Suffix sorting. Each bucket of anchors sorts its contexts in the same way, and then, block by block, the windows of
+   the distinct contexts that share an anchor (suffixes.py); neighbours with the same bytes form a class, and all but
+   its first place are repeats. Anchors that hold more than a millionth of all occurrences (at most 10^6 of them) aren't
+   one bucket: their windows go out in groups of STEP neighbouring places, each by the bytes that all windows of the
+   group have in common, so that only windows with nearly all bytes alike meet.
 4. Each document drops the bytes that its repeated windows cover.
 """
 
@@ -33,6 +34,8 @@ SPAN = WIDTH - GRAM + 1
 CHUNK = 1 << 18
 #: An anchor is hot if it occurs this often and has this share of all occurrences.
 HOT, HOT_SHARE = 256, 1e-6
+#: Windows of a hot anchor that go out together.
+STEP = 8
 LOWEST = -(2**63)
 
 
@@ -208,57 +211,46 @@ def repeated_anchors(rows: DataFrame) -> DataFrame:
 def repeats(rows: DataFrame, hot: np.ndarray) -> DataFrame:
     """rows(doc, tie, body, at: anchor positions; others are ignored) -> doc, tie, lo, hi: ranges of repeated windows."""
     parts = partitions(rows.sparkSession)
-    names = ("kind", "h", "g", "text", "doc", "tie", "pos", "hi")
+    names = ("kind", "text", "doc", "tie", "pos", "hi")
     held = rows.sparkSession.sparkContext.broadcast(np.sort(hot))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, squeeze = held.value, zstandard.ZstdCompressor(level=3)
         for b in batches:
-            found = []
+            found, key = [], []  # (doc, tie, first window, last window, text), and what deals it out
             for doc, tie, body, at in zip(*(b.column(c).to_pylist() for c in ("doc", "tie", "body")), lists(b.column("at")), strict=True):
                 h, pos, lo, hi = anchors(body)
                 keep = np.isin(pos, at)
-                found += [(doc, tie, int(a), int(z), int(k), body[a : z + WIDTH]) for k, a, z in zip(h[keep], lo[keep], hi[keep], strict=True)]
-            found.sort(key=lambda x: x[:3])
-            first: dict[bytes, tuple] = {}
-            late, out = [], Rows(*names)
-            for x in found:
-                if first.setdefault(x[5], x)[:3] != x[:3]:
-                    late.append(x[:4])
-            if late:
-                a = np.array(late, np.int64)
-                out.add(int(a[0, 1] % parts), kind=b"late", doc=a[:, 0], tie=a[:, 1], pos=a[:, 2].astype("<u4"), hi=a[:, 3].astype("<u4"))
-            own = list(first.values())
-            h = np.array([x[4] for x in own], np.uint64)
-            a = np.array([x[:4] for x in own], np.int64).reshape(-1, 4)
-            warm = np.isin(h, hot)
-            cold = np.flatnonzero(~warm)
-            for k, part in split_by((mixed(h[cold]) % np.uint64(parts)).astype(np.int64)):
-                i = cold[part]
+                h, pos, lo, hi = h[keep], pos[keep], lo[keep], hi[keep]
+                warm = np.isin(h, hot)
+                for k, p, a, z, w in zip(h.tolist(), pos.tolist(), lo.tolist(), hi.tolist(), warm.tolist(), strict=True):
+                    for g, (first, last) in grouped(p, a, z) if w else [(None, (a, z))]:
+                        found.append((doc, tie, first, last, body[first : last + WIDTH]))
+                        key.append(k if g is None else xxhash.xxh3_64_intdigest(body[g : g + WIDTH - STEP + 1]))
+            a, texts = np.array([x[:4] for x in found], np.int64).reshape(-1, 4), [x[4] for x in found]
+            same = classes(texts)
+            late = firsts(same, a[:, 0], a[:, 1], a[:, 2])
+            out = Rows(*names)
+            if late.any():
+                x = a[late]
+                out.add(int(x[0, 1] % parts), kind=b"late", doc=x[:, 0], tie=x[:, 1], pos=x[:, 2].astype("<u4"), hi=x[:, 3].astype("<u4"))
+            h = np.array(key, np.uint64)
+            own = np.flatnonzero(~late)
+            own = own[np.unique(same[own], return_index=True)[1]]
+            for k, part in split_by((mixed(h[own]) % np.uint64(parts)).astype(np.int64)):
+                i = own[part]
                 i = i[np.argsort(h[i], kind="stable")]  # like texts together, for compression
-                out.add(k, kind=b"text", text=squeeze.compress(b"".join(own[j][5] for j in i.tolist())), doc=a[i, 0], tie=a[i, 1], pos=a[i, 2].astype("<u4"), hi=(a[i, 3] - a[i, 2]).astype("<u4"))
-            digest = xxhash.xxh3_128_digest
-            wins = [(j, s) for j in np.flatnonzero(warm).tolist() for s in range(len(own[j][5]) - WIDTH + 1)]
-            f = np.frombuffer(b"".join(digest(own[j][5][s : s + WIDTH]) for j, s in wins), "<u8").reshape(-1, 2)
-            w = np.array(wins, np.int64).reshape(-1, 2)
-            for k, part in split_by((f[:, 0] % np.uint64(parts)).astype(np.int64)):
-                i = w[part, 0]
-                out.add(k, kind=b"hash", h=f[part, 0], g=f[part, 1], doc=a[i, 0], tie=a[i, 1], pos=(a[i, 2] + w[part, 1]).astype("<u4"))
+                out.add(k, kind=b"text", text=squeeze.compress(b"".join(texts[j] for j in i.tolist())), doc=a[i, 0], tie=a[i, 1], pos=a[i, 2].astype("<u4"), hi=(a[i, 3] - a[i, 2]).astype("<u4"))
             yield out.batch()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by: dict[bytes, list[dict]] = {b"late": [], b"text": [], b"hash": []}
+        by: dict[bytes, list[dict]] = {b"late": [], b"text": []}
         for b in batches:
             for row in b.to_pylist():
                 by[row["kind"]].append(row)
         whole = lambda kind, n, t: np.frombuffer(b"".join(r[n] for r in by[kind]), t)
         place = lambda kind: [whole(kind, n, t) for n, t in PLACES.items()]
         yield from flags_of(*place(b"late"), whole(b"late", "hi", "<u4"))
-        h, g = whole(b"hash", "h", "<u8"), whole(b"hash", "g", "<u8")
-        d, t, p = place(b"hash")
-        order = np.lexsort((g, h))
-        late = firsts(suffixes.dense(order, [h, g]), d, t, p)
-        yield from flags_of(d[late], t[late], p[late], p[late])
         d, t, p = place(b"text")
         p, expand = p.astype(np.int64), zstandard.ZstdDecompressor()
         text = np.frombuffer(b"".join(expand.decompress(r["text"]) for r in by[b"text"]), np.uint8)
@@ -267,6 +259,22 @@ def repeats(rows: DataFrame, hot: np.ndarray) -> DataFrame:
     return dealt(rows.mapInArrow(spread, Rows.schema(*names)), parts).mapInArrow(meet, "doc long, tie long, lo int, hi int")
 
 
+def grouped(anchor: int, lo: int, hi: int) -> Iterator[tuple[int, tuple[int, int]]]:
+    """The windows lo to hi of an anchor in groups of STEP by their distance from it: where the bytes start that all
+    windows of the group have (WIDTH - STEP + 1 of them), and the first and last window."""
+    for g in range((anchor - hi) // STEP, (anchor - lo) // STEP + 1):
+        yield anchor - g * STEP, (max(lo, anchor - g * STEP - STEP + 1), min(hi, anchor - g * STEP))
+
+
+def classes(texts: list[bytes]) -> np.ndarray:
+    """Numbers that are equal for equal texts, from neighbours in sorted order."""
+    order = suffixes.sorted_texts(texts)
+    by, out = order.tolist(), np.zeros(len(texts), np.int64)
+    new = np.fromiter((texts[i] != texts[j] for i, j in zip(by, by[1:], strict=False)), bool, max(0, len(by) - 1))
+    out[order[1:]] = np.cumsum(new)
+    return out
+
+
 def least_gram(text: np.ndarray, off: np.ndarray, end: np.ndarray) -> np.ndarray:
     """The least hash of a piece within each of the ranges, taken in parts of bounded size."""
     out, at = np.zeros(len(off), np.uint64), 0
@@ -285,8 +293,7 @@ def windows(text: np.ndarray, doc: np.ndarray, tie: np.ndarray, lo: np.ndarray,
     end = np.cumsum(size)
     off = end - size
     raw = text.tobytes()
-    number: dict[bytes, int] = {}
-    same = np.array([number.setdefault(raw[a:b], len(number)) for a, b in zip(off.tolist(), end.tolist(), strict=True)], np.int64)
+    same = classes([raw[a:b] for a, b in zip(off.tolist(), end.tolist(), strict=True)])
     late = firsts(same, doc, tie, lo)
     yield from flags_of(doc[late], tie[late], lo[late], hi[late])
     # Of each distinct context its first place, where the anchor (its piece of least hash) has other contexts.
@@ -317,8 +324,8 @@ def without_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     bytes that stay (kept) and the row's other columns (a struct, row).
 
     A byte goes if a string of WIDTH bytes that covers it also starts earlier: in a document of smaller doc_id, or
-    earlier in the same one. Null and empty texts have no bytes. A null doc_id counts as the smallest; rows that
-    share a doc_id but not the text are ordered by a hash of the text; rows equal in both are one document, and
+    earlier in the same one. Null and empty texts have no bytes. A null doc_id counts as the smallest long; rows that
+    share a doc_id but not the text are ordered by a 64-bit hash of the text; rows equal in both are one document, and
     each gets its result. Other columns are ignored; without rows there are none.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")

@@ -3,11 +3,13 @@
 The tree's leaves are runs of pre-tokens with their character and token sums, inner nodes hold sums. An edit
 descends by characters, re-encodes from two pre-tokens before it until a pre-token boundary meets an old one
 (from there the old encoding holds: the pattern looks ahead only), and updates the sums on the leaves' paths.
+Trees are kept as rows: the characters and tokens of each leaf beside the text. A kept tree splits only the leaves
+that an edit comes to, and a text without edits isn't split again at all.
 """
 
 from __future__ import annotations
 
-import bisect
+import itertools
 import re
 from collections.abc import Callable, Iterator
 
@@ -30,12 +32,46 @@ class TokenTree:
         self.tok, self.reencoded = tok, 0
         self._build(tok.split(text))
 
+    @classmethod
+    def kept(cls, text: str, chars: list[int], sums: list[int], tok: tokens.Tokens) -> TokenTree:
+        """A tree from its text and its leaves' characters and tokens; a leaf is split when an edit needs it."""
+        tree = cls.__new__(cls)
+        tree.tok, tree.reencoded = tok, 0
+        ends = list(itertools.accumulate(chars))
+        tree._sum([text[a:b] for a, b in zip([0, *ends], ends, strict=False)] or [[]], chars or [0], sums or [0])
+        return tree
+
+    def rows(self) -> tuple[list[int], list[int]]:
+        """What kept() takes beside the text."""
+        at = slice(self.base, self.base + len(self.leaves))
+        return self.chars[at], self.sums[at]
+
+    def _pieces(self, k: int) -> list[str]:
+        """A leaf's pre-tokens. The spaces after it and one more character go into the split, since a run of spaces
+        looks that far."""
+        leaf = self.leaves[k]
+        if isinstance(leaf, str):
+            ahead, j = "", k + 1
+            while j < len(self.leaves) and not ahead.strip():
+                ahead, j = ahead + "".join(self.leaves[j]), j + 1
+            ahead = ahead[: len(ahead) - len(ahead.lstrip()) + 1]
+            pieces, at = self.tok.split(leaf + ahead), 0
+            self.leaves[k] = []
+            for p in pieces:
+                if at < len(leaf):
+                    self.leaves[k].append(p)
+                at += len(p)
+        return self.leaves[k]
+
     def _build(self, pieces: list[str]) -> None:
-        self.leaves = [pieces[k : k + LEAF] for k in range(0, len(pieces), LEAF)] or [[]]
-        self.base = 1 << (len(self.leaves) - 1).bit_length()
+        leaves = [pieces[k : k + LEAF] for k in range(0, len(pieces), LEAF)] or [[]]
+        self._sum(leaves, [sum(map(len, x)) for x in leaves], [sum(map(self.tok.size, x)) for x in leaves])
+
+    def _sum(self, leaves: list, chars: list[int], sums: list[int]) -> None:
+        self.leaves: list[list[str] | str] = leaves
+        self.base = 1 << (len(leaves) - 1).bit_length()
         self.chars, self.sums = [0] * (2 * self.base), [0] * (2 * self.base)
-        for k, leaf in enumerate(self.leaves):
-            self.chars[self.base + k], self.sums[self.base + k] = sum(map(len, leaf)), sum(map(self.tok.size, leaf))
+        self.chars[self.base : self.base + len(leaves)], self.sums[self.base : self.base + len(leaves)] = chars, sums
         for v in range(self.base - 1, 0, -1):
             self.chars[v], self.sums[v] = self.chars[2 * v] + self.chars[2 * v + 1], self.sums[2 * v] + self.sums[2 * v + 1]
 
@@ -72,7 +108,7 @@ class TokenTree:
         end = min(max(start, end), self.length)
         first, before = self._find(max(0, start - 1))
         starts, at = [], before  # pre-token starts of the leaf up to the edit
-        for p in self.leaves[first]:
+        for p in self._pieces(first):
             if at >= start:
                 break
             starts.append(at)
@@ -81,7 +117,7 @@ class TokenTree:
             first -= 1
             before -= self.chars[self.base + first]
             at, more = before, []
-            for p in self.leaves[first]:
+            for p in self._pieces(first):
                 more.append(at)
                 at += len(p)
             starts = more + starts
@@ -89,7 +125,7 @@ class TokenTree:
         last, tail = self._find(end)
         middle = last
         kept, at = [], before
-        for p in (p for leaf in self.leaves[first : last + 1] for p in leaf):
+        for p in (p for k in range(first, last + 1) for p in self._pieces(k)):
             if at >= origin:
                 break
             kept.append(p)
@@ -98,7 +134,7 @@ class TokenTree:
         old = "".join("".join(x) for x in self.leaves[first : last + 1])
         left, right = old[origin - before : start - before], old[end - before :]
         ends, at = [], tail
-        for p in self.leaves[last]:
+        for p in self._pieces(last):
             ends.append(at - end)
             at += len(p)
         ends.append(at - end)
@@ -125,13 +161,13 @@ class TokenTree:
             at = tail = tail + self.chars[self.base + last - 1]
             right += "".join(self.leaves[last])
             ends.append(at - end)
-            for p in self.leaves[last]:
+            for p in self._pieces(last):
                 at += len(p)
                 ends.append(at - end)
         self.reencoded += len(pieces)
         rest, skip = [], (done if done is not None else len(text)) - from_new
         at = self._start(middle) - end
-        for p in (p for leaf in self.leaves[middle : last + 1] for p in leaf):
+        for p in (p for k in range(middle, last + 1) for p in self._pieces(k)):
             if at >= skip:
                 rest.append(p)
             at += len(p)
@@ -143,7 +179,7 @@ class TokenTree:
                 self._put(k, [])
             self._put(last, rest)
         if len(self.leaves[first]) > 8 * LEAF:
-            self._build([p for leaf in self.leaves for p in leaf])
+            self._build([p for k in range(len(self.leaves)) for p in self._pieces(k)])
 
     def _start(self, k: int) -> int:
         v, before = self.base + k, 0
@@ -163,12 +199,32 @@ def mask_private(text: str) -> list[tuple[int, int, str]]:
     return [(m.start(), m.end(), "[private]") for m in reversed(list(PRIVATE.finditer(text)))]
 
 
-def edited_counts(docs: DataFrame, edits_of: Callable[[str], list[tuple[int, int, str]]] = mask_private, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, n_edits, n_tokens_edited, n_pieces, n_reencoded for each row of docs(doc_id, text).
+def trees(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id, body (the text as UTF-8), leaf_chars, leaf_tokens, n_pieces (pre-tokens) for each row of docs(doc_id,
+    text): the segment tree of each document as a row, to be stored. A null text counts as empty, of one empty leaf;
+    a null doc_id is kept; repeated rows each get a row; other columns are ignored."""
+    path = path or tokens.default_path()
 
-    edits_of gives a text's edits in the order to apply them. n_pieces: pre-tokens before the edits; n_reencoded:
-    those split again for the edits. A null text counts as empty; a null doc_id is kept; repeated rows each get
-    a row; other columns are ignored.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tok = tokens.load(path)
+        for b in batches:
+            chars, sums, pieces = [], [], []
+            for body in b.column("body").to_pylist():
+                tree = TokenTree(body.decode("utf-8", "replace"), tok)
+                for to, x in zip((chars, sums), tree.rows(), strict=True):
+                    to.append(x)
+                pieces.append(sum(map(len, tree.leaves)))
+            counts = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "body": b.column("body"), "leaf_chars": pa.array(chars, counts), "leaf_tokens": pa.array(sums, counts), "n_pieces": pa.array(pieces, pa.int64())})
+
+    return id_text(docs).mapInArrow(run, "doc_id long, body binary, leaf_chars array<int>, leaf_tokens array<int>, n_pieces long")
+
+
+def edited_counts(kept: DataFrame, edits_of: Callable[[str], list[tuple[int, int, str]]] = mask_private, path: str | None = None) -> DataFrame:
+    """doc_id, n_tokens, n_edits, n_tokens_edited, n_pieces, n_reencoded for each row of trees().
+
+    edits_of gives a text's edits in the order to apply them, to the kept tree. n_pieces: pre-tokens before the edits;
+    n_reencoded: those split again for the edits.
     """
     path = path or tokens.default_path()
 
@@ -176,14 +232,18 @@ def edited_counts(docs: DataFrame, edits_of: Callable[[str], list[tuple[int, int
         tok = tokens.load(path)
         for b in batches:
             rows = []
-            for body in b.column("body").to_pylist():
-                text = body.decode("utf-8", "replace")
-                tree = TokenTree(text, tok)
-                n, pieces, edits = tree.count, sum(map(len, tree.leaves)), edits_of(text)
+            for body, chars, sums in zip(*(b.column(c).to_pylist() for c in ("body", "leaf_chars", "leaf_tokens")), strict=True):
+                text, n = body.decode("utf-8", "replace"), sum(sums)
+                edits = edits_of(text)
+                if not edits:
+                    rows.append((n, 0, n, 0))
+                    continue
+                tree = TokenTree.kept(text, chars, sums, tok)
                 for e in edits:
                     tree.edit(*e)
-                rows.append((n, len(edits), tree.count, pieces, tree.reencoded))
-            names = ("n_tokens", "n_edits", "n_tokens_edited", "n_pieces", "n_reencoded")
-            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id")} | {k: pa.array([r[i] for r in rows], pa.int64()) for i, k in enumerate(names)})
+                rows.append((n, len(edits), tree.count, tree.reencoded))
+            names = ("n_tokens", "n_edits", "n_tokens_edited", "n_reencoded")
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "n_pieces": b.column("n_pieces")} | {k: pa.array([r[i] for r in rows], pa.int64()) for i, k in enumerate(names)})
 
-    return id_text(docs).mapInArrow(run, "doc_id long, n_tokens long, n_edits long, n_tokens_edited long, n_pieces long, n_reencoded long")
+    got = kept.mapInArrow(run, "doc_id long, n_pieces long, n_tokens long, n_edits long, n_tokens_edited long, n_reencoded long")
+    return got.select("doc_id", "n_tokens", "n_edits", "n_tokens_edited", "n_pieces", "n_reencoded")
