@@ -17,8 +17,8 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies the smallest doc_id stays."""
-    return simhash.one_of_each(docs)
+    """Of each component of texts that share four fifths of their five-word shingles or more the smallest doc_id stays."""
+    return simhash.one_of_each(docs, words=5, similarity=0.8)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +32,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences."""
-    return packing.pack(docs)
+    """The pieces of all documents with their ids and places in sequences."""
+    return packing.pack(docs, with_ids=True)
 
 
 STAGES = [
