@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from textmill import config
 from textmill.plans import build
 from textmill.session import session
-from textmill.sources.files import discover, read_documents
+from textmill.sources.files import discover, file_totals, read_documents
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -27,7 +27,7 @@ def main(argv: list[str] | None = None) -> int:
     docs = read_documents(spark, a.input).where("error is null")
     docs = docs.withColumn("seq", F.struct("source_file", F.coalesce("line_number", F.lit(0)).alias("line_number")))
     if a.analyze:
-        for r in files.groupBy("file_type", "supported").agg(F.count("*").alias("files"), F.sum("size_bytes").alias("bytes")).orderBy("file_type").collect():
+        for r in file_totals(files).orderBy("file_type").collect():
             print(r["file_type"], "read" if r["supported"] else "skipped", r["files"], r["bytes"])
         for line in build.preview_lines(build.analyze(docs, "source_file", cfg)):
             print(line)

@@ -45,6 +45,11 @@ def discover(spark: SparkSession, path: str) -> DataFrame:
     ).orderBy("path")
 
 
+def file_totals(files: DataFrame) -> DataFrame:
+    """file_type, supported, files, bytes of discovered files."""
+    return files.groupBy("file_type", "supported").agg(F.count("*").alias("files"), F.sum("size_bytes").alias("bytes"))
+
+
 def decode(data: bytes) -> tuple[str, str]:
     """The text under the first encoding that fits, with line feeds only, and that encoding."""
     for name in ENCODINGS:
