@@ -5,9 +5,9 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from textmill import session
+from textmill import cli, config, session
 from textmill.config import Config
-from textmill.operators import dataset, dedup
+from textmill.operators import dataset, dedup, verify
 from textmill.plans import build
 from textmill.sources.files import discover, read_documents
 
@@ -94,3 +94,66 @@ def test_shared_folder_without_setting():
     for master in ("local-cluster[2,1,1024]", "spark://host:7077", "yarn"):
         with pytest.raises(ValueError):
             session.shared_dir(fake(master))
+
+
+def test_command_line(spark, tmp_path, capsys, monkeypatch):
+    src, out = tmp_path / "in", tmp_path / "out"
+    src.mkdir()
+    (src / "a.txt").write_text(TR * 3, encoding="utf-8")
+    (src / "b.csv").write_text("text,n\n" + "Yeni bir dünya için daha büyük bir zaman gerekiyor ama herkes kendi yerinde bekliyor" + ",1\n", encoding="utf-8")
+    (src / "c.xml").write_text("<a>short</a>")
+    (src / "d.pdf").write_bytes(b"not a pdf")
+    (src / "e.exe").write_bytes(b"x")
+    monkeypatch.chdir(tmp_path)
+    assert cli.main(["--input", str(src), "--analyze"]) == 0
+    said = capsys.readouterr().out
+    assert ".exe skipped 1 1" in said and "txt read 1" in said and "tr" in said
+    assert cli.main(["--input", str(src), "--output", str(out)]) == 0
+    assert "status: BUILD SUCCESSFUL" in capsys.readouterr().out
+    assert json.loads((out / "reports/quality_report.json").read_text())["accepted_documents"] == 2
+    assert "train-00000.jsonl" in (out / "manifest/SHA256SUMS").read_text() and (out / "README_DATASET.md").exists()
+    with pytest.raises(SystemExit):
+        cli.main(["--input", str(src)])
+
+
+def test_kinds_of_files(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("text\tn\nbir iki\t1\n")
+    (tmp_path / "b.yaml").write_text("k: v\r\n")
+    (tmp_path / "c.xml").write_text("<a>b</a>")
+    (tmp_path / "d.pdf").write_bytes(b"%PDF-broken")
+    (tmp_path / "e.json").write_text('[{"body": "x"}, "plain", 3]')
+    (tmp_path / "f.HTM").write_text("<p>q</p>")
+    (tmp_path / "_g.txt").write_text("hidden")
+    got = {(r["source_file"].rsplit("/", 1)[1], r["text"]) for r in read_documents(spark, str(tmp_path)).collect()}
+    assert got == {("a.tsv", "bir iki"), ("b.yaml", "k: v\n"), ("c.xml", "<a>b</a>"), ("d.pdf", ""), ("e.json", "x"), ("e.json", "plain"), ("f.HTM", "<p>q</p>")}
+
+
+def test_settings(tmp_path):
+    assert config.load(str(tmp_path / "none.yaml")) == Config()
+    (tmp_path / "c.json").write_text('{"dataset": {"seed": 7}}')
+    (tmp_path / "bad.json").write_text('{"dataset": {"sead": 7}}')
+    assert config.load(str(tmp_path / "c.json")).dataset.seed == 7
+    with pytest.raises(Exception, match="sead"):
+        config.load(str(tmp_path / "bad.json"))
+
+
+def test_tables_are_removed(spark):
+    a = session.materialized(spark.range(3), "some")
+    assert session.materialized(a, "more").count() == 3
+    session.forget(a)
+    with pytest.raises(Exception, match="some"):
+        spark.read.parquet(a.written_to).count()
+    session.clean_up(spark)
+    b = session.materialized(spark.range(2), "again")
+    assert b.count() == 2
+
+
+def test_violations(spark, tmp_path):
+    at = tmp_path / "train"
+    at.mkdir()
+    (at / "train-00000.jsonl").write_bytes(b'{"text": "a"}\nbroken\n{"text": "\xff"}\n{"text": " "}\n')
+    listed = verify.manifest(spark, str(tmp_path))
+    found = sorted(r["check"] for r in verify.violations(spark, str(tmp_path), listed).collect())
+    assert "json" in found and "empty" in found and "utf8" in found and "sha256" not in found
+    wrong = listed.withColumn("sha256", F.lit("0"))
+    assert "sha256" in {r["check"] for r in verify.violations(spark, str(tmp_path), wrong).collect()}

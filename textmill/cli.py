@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from textmill import config
 from textmill.plans import build
-from textmill.session import session
+from textmill.session import clean_up, session
 from textmill.sources.files import discover, file_totals, read_documents
 
 
@@ -33,6 +33,7 @@ def main(argv: list[str] | None = None) -> int:
             print(line)
         return 0
     result = build.run_build(spark, docs, a.output, cfg, files.count())
+    clean_up(spark)
     for k, v in result.items():
         print(f"{k}: {v}")
     return int(result["status"] != "BUILD SUCCESSFUL")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.quality import normalized_hash
 from textmill.functions.text import words
-from textmill.session import materialized
+from textmill.session import forget, materialized
 
 # Fixed value: the modulus of the hash family.
 PRIME = 4294967311
@@ -87,27 +87,30 @@ def bands(df: DataFrame, sig: str, seq: str = "seq", n_bands: int = 32, num_perm
     return df.where(F.exists(sig, lambda x: x != 0)).select(seq, F.posexplode(keys).alias("band_id", "bucket_hash"))
 
 
-def near_losers(buckets: DataFrame, seq: str = "seq", most_rounds: int = 60) -> DataFrame:
+def near_losers(buckets: DataFrame, seq: str = "seq") -> DataFrame:
     """The seq of rows that share a bucket with an earlier kept one.
 
     In each round the open rows that come first in all their buckets are kept, and whoever shares a bucket with
-    them is dropped: linear in the buckets' rows, no pairs. Rounds are written to the shared folder. After
-    most_rounds, which only a long chain reaches, the rest goes on in the same way.
+    them is dropped: linear in the buckets' rows, no pairs. A round writes one table, of what became of its open rows,
+    and the next one reads those that are still open. Rounds grow with the longest chain in which each row shares a
+    bucket with the next only; rows around one text need two.
     """
     spark = buckets.sparkSession
-    open_ = materialized(buckets.select(F.col(seq).alias("seq"), "band_id", "bucket_hash").distinct(), "bands")
-    alone = open_.groupBy("band_id", "bucket_hash").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    open_ = materialized(open_.join(alone, ["band_id", "bucket_hash"], "left_semi"), "bands")
-    dropped = None
-    while open_.limit(1).count():
+    rows = materialized(buckets.select(F.col(seq).alias("seq"), "band_id", "bucket_hash").distinct(), "bands")
+    shared = rows.groupBy("band_id", "bucket_hash").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    state = materialized(rows.join(shared, ["band_id", "bucket_hash"], "left_semi").withColumn("fate", F.lit("open")), "rounds")
+    forget(rows)
+    rounds = [state]
+    while (open_ := state.where("fate = 'open'").drop("fate")).limit(1).count():
         first = open_.groupBy("band_id", "bucket_hash").agg(F.min("seq").alias("first"))
-        ranked = open_.join(first, ["band_id", "bucket_hash"])
-        kept = materialized(ranked.groupBy("seq").agg(F.min((F.col("seq") == F.col("first")).cast("int")).alias("ok")).where("ok = 1").select("seq"), "kept")
-        taken = open_.join(kept, "seq", "left_semi").select("band_id", "bucket_hash").distinct()
-        lost = materialized(open_.join(kept, "seq", "left_anti").join(taken, ["band_id", "bucket_hash"], "left_semi").select("seq").distinct(), "lost")
-        dropped = lost if dropped is None else dropped.union(lost)
-        open_ = materialized(open_.join(kept, "seq", "left_anti").join(lost, "seq", "left_anti"), "bands")
-    return dropped if dropped is not None else spark.createDataFrame([], buckets.select(F.col(seq).alias("seq")).schema)
+        kept = open_.join(first, ["band_id", "bucket_hash"]).groupBy("seq").agg(F.min(F.col("seq") == F.col("first")).alias("kept"))
+        marked = open_.join(kept, "seq")
+        taken = marked.where("kept").select("band_id", "bucket_hash").distinct()
+        lost = marked.where("not kept").join(taken, ["band_id", "bucket_hash"], "left_semi").select("seq").distinct().withColumn("lost", F.lit(True))
+        fate = F.when(F.col("kept"), "kept").when(F.col("lost"), "lost").otherwise("open")
+        state = materialized(marked.join(lost, "seq", "left").select("seq", "band_id", "bucket_hash", fate.alias("fate")), "rounds")
+        rounds.append(state)
+    return spark.read.schema(state.schema).parquet(*[x.written_to for x in rounds]).where("fate = 'lost'").select("seq").distinct()
 
 
 def mark_near(df: DataFrame, text: str, seq: str = "seq", num_perm: int = 128, n_bands: int = 32, seed: int = 42, into: str = "is_near_duplicate") -> DataFrame:

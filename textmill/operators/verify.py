@@ -4,16 +4,26 @@ from __future__ import annotations
 
 import json
 import os
+import re
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from textmill.functions.text import strip
 from textmill.operators.dataset import counts, leaks
+from textmill.sources.files import file_sha256
 
 PARTS = ("train", "validation", "test", "rejected", "quarantine")
 
 
+@F.pandas_udf(StringType())
+def digest(path: pd.Series) -> pd.Series:
+    """SHA-256 of files, block by block, so that none has to fit into a value."""
+    return path.map(lambda p: file_sha256(re.sub(r"^file:/+", "/", p)))
+
+
 def relative(path, out: str):
     return F.regexp_replace(path, r"^file:/*", "/").substr(F.lit(len(os.path.abspath(out)) + 2), F.lit(10_000))
 
@@ -25,7 +35,7 @@ def manifest(spark: SparkSession, out: str) -> DataFrame:
     if not paths:
         return spark.createDataFrame([], kind)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).where(~F.col("path").rlike(r"/(_SUCCESS|\.[^/]*\.crc)$"))
-    files = files.select(relative(F.col("path"), out).alias("filepath"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"))
+    files = files.select(relative(F.col("path"), out).alias("filepath"), F.col("length").alias("size_bytes"), digest("path").alias("sha256"))
     lines = spark.read.option("recursiveFileLookup", True).text(paths).select(relative(F.col("_metadata.file_path"), out).alias("filepath"), "value")
     v = F.try_parse_json("value")
     lines = lines.where(F.schema_of_variant(v).startswith("OBJECT") & F.col("filepath").rlike(r"\.jsonl?$")).select("filepath", F.coalesce(F.try_variant_get(v, "$.text", "string"), F.lit("")).alias("text"))
@@ -54,13 +64,14 @@ def violations(spark: SparkSession, out: str, listed: DataFrame) -> DataFrame:
     kind = "check string, file string, detail string"
     if not paths:
         return spark.createDataFrame([], kind)
-    now = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").load(paths).select(relative(F.col("path"), out).alias("file"), F.sha2("content", 256).alias("sha"), F.is_valid_utf8(F.col("content").cast("string")).alias("utf8"))
+    now = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").load(paths).select(relative(F.col("path"), out).alias("file"), digest("path").alias("sha"))
     lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text(paths).select(relative(F.col("_metadata.file_path"), out).alias("file"), "value").where(strip(F.col("value")) != "")
     v = F.try_parse_json("value")
+    bad = lines.where(~F.is_valid_utf8("value")).select("file").distinct()
     lines = lines.select("file", "value", v.isNotNull().alias("json"), F.coalesce(F.try_variant_get(v, "$.text", "string"), F.lit("")).alias("text"))
     row = lambda df, name, detail: df.select(F.lit(name).alias("check"), "file", detail.alias("detail"))
     found = row(now.join(listed.select(F.col("filepath").alias("file"), "sha256"), "file").where("sha <> sha256"), "sha256", F.col("sha"))
-    found = found.union(row(now.where("not utf8"), "utf8", F.lit("")))
+    found = found.union(row(bad, "utf8", F.lit("")))
     found = found.union(row(lines.where("not json"), "json", F.substring("value", 1, 200)))
     found = found.union(row(lines.where("json").where(strip(F.col("text")) == ""), "empty", F.lit("")))
     shared = leaks(lines.where("json").withColumn("split", F.split("file", "/")[0]))

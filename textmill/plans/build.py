@@ -131,12 +131,9 @@ def write_shards(fates: DataFrame, out: str, cfg: Config) -> None:
     order = Window.partitionBy("split", "shard").orderBy("seq")
     grouped = grouped.withColumn("n", F.row_number().over(order)).drop("seq")
     cut_rows = materialized(grouped.groupBy("split", "shard").applyInPandas(cut, "split string, shard long, part int, n int, line string"), "lines")
-    files = cut_rows.select("split", "shard", "part").distinct().orderBy("split", "shard", "part").collect()  # one row per file
-    number = {}
-    for r in files:
-        of = [x for x in number if x[0] == r["split"]]
-        number[(r["split"], r["shard"], r["part"])] = len(of)
-    names = spark.createDataFrame([(*k, f"{k[0]}/{k[0]}-{v:05d}.jsonl") for k, v in number.items()], "split string, shard long, part int, file string")
+    files = cut_rows.select("split", "shard", "part").distinct()
+    number = F.row_number().over(Window.partitionBy("split").orderBy("shard", "part")) - 1
+    names = files.select("*", F.concat_ws("", "split", F.lit("/"), "split", F.lit("-"), F.lpad(number.cast("string"), 5, "0"), F.lit(".jsonl")).alias("file"))
     named = cut_rows.join(F.broadcast(names), ["split", "shard", "part"]).select("file", "n", "line")
 
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -155,7 +152,7 @@ def write_shards(fates: DataFrame, out: str, cfg: Config) -> None:
 
     for split in ("train", "validation", "test"):
         os.makedirs(f"{conf_dir}/{split}", exist_ok=True)
-        if not any(k[0] == split for k in number):
+        if not os.listdir(f"{conf_dir}/{split}"):
             open(f"{conf_dir}/{split}/{split}-00000.jsonl", "w").close()
 
 

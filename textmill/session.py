@@ -33,10 +33,32 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialized(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read again: cuts lineage, and outlives executors."""
-    path = f"{shared_dir(df.sparkSession)}/textmill/{name}-{uuid.uuid4().hex}"
+    """df written to the shared folder and read again: cuts lineage, and outlives executors. Tables of an application
+    stand in one folder, which clean_up() removes."""
+    path = f"{own_tables(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def own_tables(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/textmill/{spark.sparkContext.applicationId}"
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def forget(df: DataFrame) -> None:
+    """Removes the table of materialized(), when nothing reads it any more."""
+    removed(df.sparkSession, df.written_to)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Removes all tables that this application has materialized; results that aren't written yet are lost."""
+    removed(spark, own_tables(spark))
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -30,7 +30,8 @@ RECORD = "source_file string, file_type string, line_number int, text string, re
 
 
 def discover(spark: SparkSession, path: str) -> DataFrame:
-    """path, file_type, size_bytes, supported, skip_reason; only names and sizes are read. A missing path has none."""
+    """path, file_type, size_bytes, supported, skip_reason; only names and sizes are read. A missing path has none; names
+    that begin with _ or a full stop are hidden files to Spark and have no row."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath):
         return spark.createDataFrame([], "path string, file_type string, size_bytes long, supported boolean, skip_reason string")
