@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import functools
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textmill.session import forget, materialized, shared_dir
+
+__all__ = ["bounded_batches", "documents", "fold", "forget", "id_text", "partitions", "shared_dir", "stored"]
+
+#: What several steps read is written once: later ones don't recompute it, and a lost executor costs only its own tasks.
+stored = materialized
+
 #: Rows in one Arrow batch to a Python worker, so that long texts stay within its memory.
 BATCH_ROWS = 1000
 
@@ -39,28 +41,5 @@ def fold(doc_id: Column, mod: int) -> Column:
     return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % mod).cast("int")
 
 
-@functools.cache
-def own_dir(application: str) -> str:
-    return tempfile.mkdtemp(prefix="textmill-")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir. Where that is unset, a local run has a temporary folder of its own,
-    and a cluster gets an error, since its machines share no temporary folder."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return at or own_dir(spark.sparkContext.applicationId)
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it again: later stages don't recompute it, and
-    a lost executor costs only its own tasks."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/textmill/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
