@@ -67,6 +67,14 @@ def test_contamination_edges(spark):
     assert blocks == got
 
 
+def test_words_encoded_together():
+    tok, r = tokens.load(tokens.default_path()), random.Random(6)
+    words = {" " + "".join(r.choice("ab\u3000c'slré.,!?²\x1c\x85\xa0日本🙂_<|endoftext|>1") for _ in range(r.randint(1, 9))) for _ in range(3000)}
+    words = sorted(w for w in words if len(w[1:].encode().split()) == 1)
+    assert [np.frombuffer(x, "<u4").tolist() for x in tok.apart(words)] == [tok.ids(w).tolist() for w in words]
+    assert tok.apart([]) == []
+
+
 def test_token_tree_equals_recount():
     tok, r = tokens.load(tokens.default_path()), random.Random(5)
     from tokenizers import Tokenizer
@@ -342,8 +350,8 @@ def test_shares_of_all_ids_sum_to_one():
     r = np.random.default_rng(4)
     model = lm.Attention(np.append(r.integers(0, 40, 2999), 7), r.permutation(3000))
     model.p = {k: x + r.standard_normal(x.shape).astype(np.float32) * 0.2 for k, x in model.p.items()}
-    z = r.standard_normal((1, lm.WIDTH)).astype(np.float32)
-    assert np.exp(model.logs(np.repeat(z, 3000, 0), model.row)).sum() == pytest.approx(1, abs=1e-3)
+    z = np.append(r.standard_normal(lm.WIDTH), 1)[None, :].astype(np.float32)
+    assert np.exp(model.logs(np.repeat(z, 3000, 0), model.row, model.outputs())).sum() == pytest.approx(1, abs=1e-3)
 
 
 def test_slopes_of_the_network():
@@ -354,7 +362,7 @@ def test_slopes_of_the_network():
 
     def loss():
         i, j = np.nonzero(wanted >= 0)
-        got = model.logs(model.forward(given, number)["z"][i, j], wanted[i, j])
+        got = model.logs(model.outcome(given, number, model.folded())[i, j], wanted[i, j], model.outputs())
         return -(got + np.where(wanted[i, j] == 0, model.unseen, 0)).mean()
 
     for name, g in model.slopes(given, number, wanted).items():
@@ -394,6 +402,98 @@ def test_pipeline(spark):
     assert sizes == sorted(sizes, reverse=True) and sizes[-1] == sizes[-2] > 0
 
 
+STAGES = {
+    "good": lambda s, d: quality.good_documents(d, s.createDataFrame([(5, 1), (None, 0), (7, None)], "doc_id long, quality int"), threshold=0.1),
+    "near": lambda s, d: simhash.one_of_each(d),
+    "trimmed": lambda s, d: suffixdedup.trimmed_documents(d),
+    "clean": lambda s, d: contamination.clean_documents(d, s.createDataFrame([("i", "c d e f g h i j k"), (None, "q"), ("z", None)], "item_id string, text string")),
+}
+
+
+@pytest.mark.parametrize("name", STAGES)
+def test_stages_take_odd_rows(spark, odd, none, name):
+    more = odd.withColumns({c: F.lit("own") for c in ("row", "kept", "print", "kept_id", "root", "hit_id", "text_hash", "x", "y", "node")})
+    got = STAGES[name](spark, more)
+    assert got.columns == more.columns
+    rows = got.collect()
+    assert all(r["row"] == r["kept_id"] == "own" and r["rid"] == 1 for r in rows)
+    want = {"good": 7, "near": 5, "trimmed": 7, "clean": 7}[name]  # near: no text and empty text, and the repeated row, are copies
+    assert len(rows) == want
+    assert STAGES[name](spark, none).count() == 0
+    hit = spark.createDataFrame([(1, "a c d e f g h i j"), (1, "a c d e f g h i"), (None, "c d e f g h i j")], "doc_id long, text string")
+    if name == "clean":  # of one doc_id only the row with the passage goes
+        assert [(r["doc_id"], r["text"]) for r in STAGES[name](spark, hit).collect()] == [(1, "a c d e f g h i")]
+
+
+def test_trimmed_texts(spark):
+    passage = " a passage that two documents share and that is long enough, by some bytes, to go from the second one of them "
+    rows = [(1, "first é" + passage), (2, "second \ufffd ũ" + passage + "e\ufffdnd"), (3, None), (4, passage)]  # é and ũ end in the same byte
+    got = {r["doc_id"]: r["text"] for r in suffixdedup.trimmed_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == rows[0][1] and got[3] == "" and 4 not in got
+    assert got[2] == "second \ufffd e\ufffdnd"
+
+
+def planted(spark, docs):
+    """Documents with near copies, shared passages, passages of items and rows without ids."""
+    r = random.Random(12)
+    some = [(i["doc_id"], i["text"]) for i in docs.where("length(text) between 400 and 3000").limit(60).collect()]
+    items = [i["text"] for i in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    rows = list(some)
+    for k, (i, t) in enumerate(some[:20]):
+        w = t.split()
+        for _ in range(k % 4):
+            w[r.randrange(len(w))] = "changed"
+        rows.append((10_000 + i if k % 5 else None, " ".join(w)))
+    rows += [(20_000 + k, t[:900] + " " + items[k % len(items)]) for k, (_, t) in enumerate(some[20:30])]
+    rows += [(30_000 + k, f"{k} own words before. " + some[40][1][100:700]) for k in range(5)]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_pipeline_stages_against_brute_force(spark, docs):
+    d = planted(spark, docs)
+    key = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    good = quality.score_quality(d, labels).where("predicted = 1").select("doc_id").collect()
+    kept = corpus_pipeline.classify(spark, d, SF)
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(r["doc_id"]) for r in good)
+
+    rows = [(r["doc_id"], r["text"]) for r in d.collect()]
+    prints = np.array([np.frombuffer(simhash.wide_print(t.encode(), 5), np.uint64) for _, t in rows])
+    reach = round(64 * simhash.WIDE * np.arccos(1.6 / 1.8) / np.pi)
+    root = list(range(len(rows)))
+    for _ in rows:
+        for a in range(len(rows)):
+            near = np.flatnonzero(simhash.apart(prints, prints[a]) <= reach)
+            root[a] = min(root[b] for b in near)
+    want = {}
+    for k, (i, t) in enumerate(rows):
+        mine = (i is None, i or 0, hashlib.md5(t.encode()).hexdigest(), t, i)
+        want[root[k]] = min(want.get(root[k], mine), mine)
+    assert len(want) < len(rows) - 15
+    assert key(corpus_pipeline.drop_near_copies(spark, d, SF)) == sorted(((x[4], x[3]) for x in want.values()), key=str)
+
+    d = d.where("doc_id is not null")
+    cut = repeats([(r["doc_id"], r["text"].encode()) for r in d.collect()])
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_repeats(spark, d, SF).collect()}
+    assert set(got) == {i for i, x in cut.items() if x[1] < x[0]}
+    assert all(hashlib.sha256(got[i].encode()).hexdigest() == x[3] for i, x in cut.items() if x[1] == 0)
+
+    words = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", t.translate({65 + k: 97 + k for k in range(26)}))
+    wins = set()
+    for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect():
+        w = words(r["text"])
+        wins |= {tuple(w[k : k + 8]) for k in range(max(1, len(w) - 7))} if w else set()
+    clean = [(i, t) for i, t in ((r["doc_id"], r["text"]) for r in d.collect()) if not any(tuple(words(t)[k : k + n]) in wins for n in {len(x) for x in wins} for k in range(len(words(t))))]
+    assert len(clean) < d.count()
+    assert key(corpus_pipeline.decontaminate(spark, d, SF)) == sorted(clean, key=str)
+
+    packed = corpus_pipeline.pack(spark, d, SF).collect()
+    tok = tokens.load(tokens.default_path())
+    for r in d.collect():
+        ids = [x for p in sorted((p["piece"], p["ids"]) for p in packed if p["doc_id"] == r["doc_id"]) for x in p[1]]
+        assert ids == [*tok.ids(r["text"]).tolist(), 2]
+
+
 def test_shared_folder_without_setting():
     def session(master):
         return SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master, applicationId="app"))

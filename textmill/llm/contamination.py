@@ -90,5 +90,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_ite
 def clean_documents(docs: DataFrame, benchmark: DataFrame, width: int = 8, min_items: int = 1) -> DataFrame:
     """The rows of docs, with all their columns, that hold windows of fewer than min_items items."""
     found = contamination(docs, benchmark, width, min_items).where("contaminated").select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("hit_id")) & (F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("hit_hash"))
-    return docs.join(found, same, "left_anti")
+    own = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["hit_id"]) & (own == found["hit_hash"]), "left_anti")

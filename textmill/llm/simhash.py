@@ -73,7 +73,7 @@ def fingerprint(body: bytes) -> int:
 def wide_print(body: bytes, words: int) -> bytes:
     """64 * WIDE bits of the distinct shingles; without words none."""
     h = np.unique(np.concatenate([np.zeros(0, np.uint64), *shingles(body, words)]))
-    return b"".join(majority([mixed(h + np.uint64(j) * np.uint64(0x9E3779B97F4A7C15))]).to_bytes(8, "little") for j in range(WIDE))
+    return b"".join(majority([mixed(h + np.uint64(j * 0x9E3779B97F4A7C15 % 2**64))]).to_bytes(8, "little") for j in range(WIDE))
 
 
 @functools.cache

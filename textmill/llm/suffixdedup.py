@@ -321,7 +321,7 @@ def windows(text: np.ndarray, doc: np.ndarray, tie: np.ndarray, lo: np.ndarray,
 
 def without_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row of docs(doc_id, text), and with with_text the
-    bytes that stay (kept) and the row's other columns (a struct, row).
+    bytes that stay (kept), without what a cut leaves of a character, and the row's other columns (a struct, row).
 
     A byte goes if a string of WIDTH bytes that covers it also starts earlier: in a document of smaller doc_id, or
     earlier in the same one. Null and empty texts have no bytes. A null doc_id counts as the smallest long; rows that
@@ -351,7 +351,7 @@ def without_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
                 gone.append(len(body) - len(left))
                 spans.append(int(np.count_nonzero(np.diff(covered.astype(np.int8), prepend=0) == 1)))
                 sha.append(hashlib.sha256(left).hexdigest())
-                kept.append(left)
+                kept.append(left.decode("utf-8", "ignore").encode() if with_text and len(left) < len(body) else left)
             own = {"doc_id": b.column("doc_id"), "n_bytes": pa.array(size, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "n_spans": pa.array(spans, pa.int64()), "kept_sha256": pa.array(sha, pa.string())}
             yield pa.RecordBatch.from_pydict(own | ({"kept": pa.array(kept, pa.binary()), "row": b.column("row")} if with_text else {}))
 
@@ -364,8 +364,6 @@ def trimmed_documents(docs: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, without repeated bytes; texts of which nothing stays go. What a cut
     leaves of a character goes too; n_chars, where there is one, is counted anew."""
     out = without_repeats(docs, with_text=True).where("n_removed < n_bytes or n_bytes = 0")
-    text = F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("\ufffd"), F.lit(""))
-    text = F.when(F.is_valid_utf8(F.col("kept").cast("string")), F.col("kept").cast("string")).otherwise(text)
-    out = out.withColumn("text", text)
+    out = out.withColumn("text", F.col("kept").cast("string"))
     own = {"text": F.col("text"), "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
     return out.select(*[(own[c] if c in own else F.col("row")[c]).alias(c) for c in docs.columns])
