@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from textmill.llm.graph import components
 from textmill.llm.suffixdedup import Rows, mixed, split_by
-from textmill.llm.util import id_text, partitions, stored
+from textmill.llm.util import buckets, id_text, partitions, stored
 
 # Fixed value: the generator polynomial of the binary Golay code.
 GOLAY = 0b101011100011
@@ -234,8 +234,7 @@ def links(prints: DataFrame) -> DataFrame:
             for at in range(0, len(a), CHUNK):
                 yield pa.RecordBatch.from_pydict({"a": pa.array(a[at : at + CHUNK].view(np.int64)), "b": pa.array(b[at : at + CHUNK].view(np.int64))})
 
-    spark = prints.sparkSession
-    return prints.mapInArrow(spread, "key long, fp long").repartition(partitions(spark), "key").mapInArrow(meet, "a long, b long")
+    return prints.mapInArrow(spread, "key long, fp long").repartition(buckets(prints, 1 << 20), "key").mapInArrow(meet, "a long, b long")
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
@@ -251,6 +250,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     degree = edges.select(F.col("a").alias("fp")).union(edges.select("b")).groupBy("fp").agg(F.count("*").alias("n_links"))
     low = each.groupBy("root").agg(F.min("low").alias("component_id"))
     each = each.join(low, "root").join(degree, "fp", "left").select("fp", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    each = stored(each, "places")  # so that nothing but the join needs its rows together, and a fingerprint of very many rows can be split
     return rows.join(each, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_links")
 
 

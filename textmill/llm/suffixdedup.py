@@ -217,32 +217,38 @@ def repeats(rows: DataFrame, hot: np.ndarray) -> DataFrame:
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, squeeze = held.value, zstandard.ZstdCompressor(level=3)
         for b in batches:
-            found, key = [], []  # (doc, tie, first window, last window, text), and what deals it out
+            found, key = [], []  # (doc, tie, first window, last window, text, anchor), and the anchor's hash
             for doc, tie, body, at in zip(*(b.column(c).to_pylist() for c in ("doc", "tie", "body")), lists(b.column("at")), strict=True):
                 h, pos, lo, hi = anchors(body)
                 keep = np.isin(pos, at)
-                h, pos, lo, hi = h[keep], pos[keep], lo[keep], hi[keep]
-                warm = np.isin(h, hot)
-                for k, p, a, z, w in zip(h.tolist(), pos.tolist(), lo.tolist(), hi.tolist(), warm.tolist(), strict=True):
-                    for g, (first, last) in grouped(p, a, z) if w else [(None, (a, z))]:
-                        found.append((doc, tie, first, last, body[first : last + WIDTH]))
-                        key.append(k if g is None else xxhash.xxh3_64_intdigest(body[g : g + WIDTH - STEP + 1]))
-            a, texts = np.array([x[:4] for x in found], np.int64).reshape(-1, 4), [x[4] for x in found]
-            same = classes(texts)
-            late = firsts(same, a[:, 0], a[:, 1], a[:, 2])
-            out = Rows(*names)
-            if late.any():
-                x = a[late]
-                out.add(int(x[0, 1] % parts), kind=b"late", doc=x[:, 0], tie=x[:, 1], pos=x[:, 2].astype("<u4"), hi=x[:, 3].astype("<u4"))
-            h = np.array(key, np.uint64)
-            own = np.flatnonzero(~late)
-            own = own[np.unique(same[own], return_index=True)[1]]
-            for k, part in split_by((mixed(h[own]) % np.uint64(parts)).astype(np.int64)):
-                i = own[part]
+                found += [(doc, tie, a, z, body[a : z + WIDTH], p) for p, a, z in zip(pos[keep].tolist(), lo[keep].tolist(), hi[keep].tolist(), strict=True)]
+                key.append(h[keep])
+            key, out = np.concatenate([np.zeros(0, np.uint64), *key]), Rows(*names)
+            own = fresh(found, out)
+            warm = np.isin(key[own], hot)
+            parts_of = [(g, (doc, tie, first, last, text[first - a : last - a + WIDTH])) for doc, tie, a, z, text, p in (found[k] for k in own[warm].tolist()) for g, (first, last) in grouped(p, a, z)]
+            parts_own = fresh(split := [x for _, x in parts_of], out)
+            core = [xxhash.xxh3_64_intdigest(x[4][g - x[2] : g - x[2] + WIDTH - STEP + 1]) for g, x in (parts_of[k] for k in parts_own.tolist())]
+            rows = [found[k][:5] for k in own[~warm].tolist()] + [split[k] for k in parts_own.tolist()]
+            h = np.append(key[own[~warm]], np.array(core, np.uint64))
+            a, texts = np.array([x[:4] for x in rows], np.int64).reshape(-1, 4), [x[4] for x in rows]
+            for k, i in split_by((mixed(h) % np.uint64(parts)).astype(np.int64)):
                 i = i[np.argsort(h[i], kind="stable")]  # like texts together, for compression
                 out.add(k, kind=b"text", text=squeeze.compress(b"".join(texts[j] for j in i.tolist())), doc=a[i, 0], tie=a[i, 1], pos=a[i, 2].astype("<u4"), hi=(a[i, 3] - a[i, 2]).astype("<u4"))
             yield out.batch()
 
+    def fresh(found: list[tuple], out: Rows) -> np.ndarray:
+        """The numbers of the first of each distinct text; later places of a text are repeats, which go to out."""
+        if not found:
+            return np.zeros(0, np.int64)
+        a, same = np.array([x[:4] for x in found], np.int64), classes([x[4] for x in found])
+        late = firsts(same, a[:, 0], a[:, 1], a[:, 2])
+        if late.any():
+            x = a[late]
+            out.add(int(x[0, 1] % parts), kind=b"late", doc=x[:, 0], tie=x[:, 1], pos=x[:, 2].astype("<u4"), hi=x[:, 3].astype("<u4"))
+        own = np.flatnonzero(~late)
+        return own[np.unique(same[own], return_index=True)[1]]
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by: dict[bytes, list[dict]] = {b"late": [], b"text": []}
         for b in batches:

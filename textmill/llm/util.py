@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill.session import forget, materialized, shared_dir
 
-__all__ = ["bounded_batches", "documents", "fold", "forget", "id_text", "partitions", "shared_dir", "stored"]
+__all__ = ["bounded_batches", "buckets", "documents", "fold", "forget", "id_text", "partitions", "shared_dir", "stored"]
 
 #: What several steps read is written once: later ones don't recompute it, and a lost executor costs only its own tasks.
 stored = materialized
@@ -43,3 +43,10 @@ def fold(doc_id: Column, mod: int) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def buckets(df: DataFrame, each: int = 64 << 20) -> int:
+    """Partitions for an exchange that gathers a bucket in a worker's memory: of about `each` bytes of input, as Spark
+    estimates it, and the session's number at least. Where there is no estimate it is the session's number."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(partitions(df.sparkSession), size // each if size < 1 << 60 else 1)
