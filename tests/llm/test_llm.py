@@ -105,6 +105,62 @@ def test_quality_and_language_on_held_out_rows(spark, docs):
     assert r > 0.97
 
 
+def test_token_count_query_equals_a_recount(spark, docs):
+    more = spark.createDataFrame([(10**6, "call +49 30 1234567 or mail a.b@c.example, then 030/7654321 \u3000 x"), (10**6 + 1, None), (None, "")], "doc_id long, text string")
+    d, tok = docs.select("doc_id", "text").union(more), tokens.load(tokens.default_path())
+    got = {r["doc_id"]: r for r in tokencount.edited_counts(util.stored(tokencount.trees(d), "trees")).collect()}
+    edited = 0
+    for r in d.collect():
+        text, x = r["text"] or "", got[r["doc_id"]]
+        masked = tokencount.PRIVATE.sub("[private]", text)
+        assert (x["n_tokens"], x["n_tokens_edited"], x["n_edits"]) == (len(tok.ids(text)), len(tok.ids(masked)), len(tokencount.PRIVATE.findall(text)))
+        assert x["n_pieces"] == len(tok.split(text)) and (x["n_reencoded"] > 0) == (x["n_edits"] > 0)
+        assert x["n_reencoded"] <= 12 * x["n_edits"] + 40
+        edited += x["n_edits"]
+    assert edited > 1
+
+
+def test_quality_scores_equal_plain_sums(spark, docs):
+    r = np.random.default_rng(14)
+    x = r.standard_normal((400, len(quality.FEATURES)))
+    model = quality.fit(x, (x[:, 0] + x[:, 1] * x[:, 2] + r.standard_normal(400) / 3 > 0).astype(float))
+    place = lambda edges, v: sum(e < v for e in edges)
+    for row, p in zip(x[:50], quality.predict(model, x[:50]), strict=True):
+        s = model["base"] + sum(t[place(e, v)] for v, e, t in zip(row, model["edges"], model["tables"], strict=True))
+        s += sum(t[place(a, row[i]), place(b, row[j])] for i, j, a, b, t in model["pairs"])
+        assert p == pytest.approx(1 / (1 + np.exp(-s)))
+    assert {2, 1} in [{i, j} for i, j, *_ in model["pairs"]]
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    got = {r["doc_id"]: r for r in quality.score_quality(docs, labels).collect()}
+    known = {r["doc_id"]: r["quality"] for r in labels.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2}
+    rows = sorted((i, y, quality.features(t.encode())) for i, t in ((r["doc_id"], r["text"]) for r in docs.collect()) if (y := known.get(i)) is not None)
+    again = quality.fit(np.array([r[2] for r in rows]), np.array([r[1] == 1 for r in rows], float))
+    for r in docs.limit(60).collect():
+        p = quality.predict(again, np.array([quality.features(r["text"].encode())]))[0]
+        x = got[r["doc_id"]]
+        assert x["score"] == pytest.approx(p) and x["predicted"] == (p >= 0.7) and x["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+
+
+def test_language_scores_equal_plain_sums(spark, docs):
+    learn = docs.where(util.fold(F.col("doc_id"), 4) != 2)
+    model = langid.train(learn.select("text", "lang"))
+    rows = learn.collect()
+    total = {lang: np.zeros(1 << langid.BITS) for lang in model["langs"]}
+    for r in rows:
+        for g in langid.grams(r["text"]):
+            np.add.at(total[r["lang"]], g, 1)
+    texts = [r["text"] for r in docs.limit(20).collect()] + ["", "ß", "x" * 3000]
+    got = langid.products(model, texts)
+    for j, lang in enumerate(model["langs"]):
+        logp = np.log((total[lang] + 0.5) / (total[lang].sum() + 0.5 * len(total[lang])))
+        prior = np.log(sum(r["lang"] == lang for r in rows) / len(rows))
+        want = [prior + sum(logp[g].sum() for g in langid.grams(t)) for t in texts]
+        assert got[:, j] == pytest.approx(want, rel=1e-5)
+    same = spark.createDataFrame([(1, "ab ab", "b"), (3, "ab ab", "a"), (4, "", "c"), (8, "12 34", "a")], "doc_id long, text string, lang string")
+    pred = {r["doc_id"]: r["lang_pred"] for r in langid.identify(same, langid.train(same.where("doc_id < 4"))).collect()}
+    assert pred == {1: "a", 3: "a", 4: "und", 8: "und"}  # ties go to the first
+
+
 def test_packing(spark, docs):
     rows = packing.pack(docs).collect()
     by, tok = {}, tokens.load(tokens.default_path())
