@@ -40,6 +40,7 @@ MOJIBAKE = [
     ("Â", ""),
     ("�", ""),
 ]
+# Tags that go with what they hold, and tags that break lines.
 BLOCK_TAGS = "script|style|svg|noscript|iframe"
 LINE_TAGS = "br|p|div|tr|h[1-6]"
 

@@ -17,9 +17,9 @@ from textmill.functions.text import strip, text_of
 SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
 
 
-def packed(parts: list[str], joint: str, most: int, cost_of_first: int) -> Iterator[str]:
+def packed(parts: list[str], joint: str, most: int) -> Iterator[str]:
     """Joins parts in order while they fit; a part costs its length and the joint, the first one after a full
-    chunk its length and cost_of_first."""
+    chunk its length alone."""
     held, used = [], 0
     for part in parts:
         if used + len(part) + len(joint) <= most:
@@ -28,7 +28,7 @@ def packed(parts: list[str], joint: str, most: int, cost_of_first: int) -> Itera
             continue
         if held:
             yield joint.join(held)
-        held, used = [part], len(part) + cost_of_first
+        held, used = [part], len(part)
     if held:
         yield joint.join(held)
 
@@ -47,9 +47,9 @@ def chunked(text: str, most: int = 4000) -> list[str]:
     out: list[str] = []
     for run in runs:
         if len(run) == 1 and len(run[0]) > most:
-            out += packed(SENTENCE_END.split(run[0]), " ", most, 0)
+            out += packed(SENTENCE_END.split(run[0]), " ", most)
         else:
-            out += packed(run, "\n\n", most, 0)
+            out += packed(run, "\n\n", most)
     return out
 
 

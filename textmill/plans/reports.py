@@ -6,6 +6,7 @@ import html
 import json
 import os
 
+# The counters of the reports, whose files are named in write_reports.
 QUALITY = ("accepted_documents", "rejected_documents", "too_short", "spam", "non_turkish")
 COPIES = ("exact_duplicates", "near_duplicates")
 

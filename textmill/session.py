@@ -62,7 +62,7 @@ def clean_up(spark: SparkSession) -> None:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """df dealt over all cores where its files split into fewer parts than two for each core, as small tables of one
+    """df dealt over all cores where its files split into fewer parts than there are cores, as small tables of one
     row group do; larger tables stay as they are, without a shuffle."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < 2 * cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
