@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.session import forget, materialized, shared_dir
+from textmill.session import forget, materialized, shared_dir, spread
 
 __all__ = ["bounded_batches", "buckets", "documents", "fold", "forget", "id_text", "partitions", "shared_dir", "stored"]
 
@@ -24,7 +24,7 @@ def bounded_batches(spark: SparkSession) -> None:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def id_text(docs: DataFrame) -> DataFrame:
