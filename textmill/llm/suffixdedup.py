@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm import suffixes
-from textmill.llm.util import bounded_batches, partitions, stored
+from textmill.llm.util import bounded_batches, buckets, stored
 
 WIDTH, GRAM = 100, 32
 SPAN = WIDTH - GRAM + 1
@@ -171,7 +171,7 @@ def dealt(rows: DataFrame, parts: int) -> DataFrame:
 def repeated_anchors(rows: DataFrame) -> DataFrame:
     """doc, tie, pos, h, n: rows with pos are anchors that occur more than once in the corpus; rows with n give a
     hot anchor's count, or without h the number of all anchors in a partition."""
-    parts = partitions(rows.sparkSession)
+    parts = buckets(rows)
     names = ("h", "n", "doc", "tie", "pos")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,7 +210,7 @@ def repeated_anchors(rows: DataFrame) -> DataFrame:
 
 def repeats(rows: DataFrame, hot: np.ndarray) -> DataFrame:
     """rows(doc, tie, body, at: anchor positions; others are ignored) -> doc, tie, lo, hi: ranges of repeated windows."""
-    parts = partitions(rows.sparkSession)
+    parts = buckets(rows)
     names = ("kind", "text", "doc", "tie", "pos", "hi")
     held = rows.sparkSession.sparkContext.broadcast(np.sort(hot))
 
