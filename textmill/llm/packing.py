@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm import tokens
-from textmill.llm.util import id_text
+from textmill.llm.util import id_text, stored
 
 #: Documents of a shard, about: bounds the memory and time of one group.
 SHARD_DOCS = 32_768
@@ -192,10 +192,12 @@ def pack(docs: DataFrame, room: int = 1024, end_id: int = 2, path: str | None =
                 seq[i], off[i] = s, at
                 at += sizes[i]
         shard = pdf["shard"].iloc[0] if len(pdf) else 0
-        return pdf.drop(columns=["rid", "shard"]).assign(sequence_id=(int(shard) << 32) + seq, offset=off)
-
-    own = "doc_id long, {}piece int, start long, length long, ids_crc32 long{}"
-    ids = ", ids array<int>" if with_ids else ""
-    rows = id_text(docs).withColumn("rid", F.monotonically_increasing_id()).mapInArrow(cut, own.format("rid long, ", ids))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("rid"), F.lit(shards)))
-    return rows.groupBy("shard").applyInPandas(place, own.format("", ids) + ", sequence_id long, offset long")
+        return pdf.drop(columns=["shard"]).assign(sequence_id=(int(shard) << 32) + seq, offset=off)
+
+    own = "doc_id long, rid long, piece int, start long, length long, ids_crc32 long"
+    rows = id_text(docs).withColumn("rid", F.monotonically_increasing_id()).mapInArrow(cut, own + (", ids array<int>" if with_ids else ""))
+    if with_ids:  # a shard places pieces by their lengths; the ids themselves don't go into its one task
+        rows = stored(rows, "pieces")
+    dealt = rows.drop("ids").withColumn("shard", F.pmod(F.xxhash64("rid"), F.lit(shards)))
+    placed = dealt.groupBy("shard").applyInPandas(place, own + ", sequence_id long, offset long")
+    return (placed.join(rows.select("rid", "piece", "ids"), ["rid", "piece"]) if with_ids else placed).drop("rid")
