@@ -349,6 +349,45 @@ def test_one_of_each_keeps_a_row_of_every_component(spark):
     assert sorted((str(r["doc_id"]), r["text"] or "") for r in got) == sorted((str(i), x) for i, x in want)
 
 
+def test_a_large_group_of_near_copies_has_few_links(spark):
+    r = np.random.default_rng(4)
+    base, other = (r.integers(0, 2**63, simhash.WIDE).astype(np.uint64) for _ in range(2))
+    bits = lambda n: np.bitwise_or.reduce([np.eye(simhash.WIDE, dtype=np.uint64)[k % 3] << np.uint64(k // 3) for k in r.choice(192, n, replace=False).tolist()])
+    prints = [base ^ bits(3 + k % 6) for k in range(400)] + [other, other ^ bits(5)]
+    got = simhash.wide_links(spark.createDataFrame([(bytearray(x.tobytes()),) for x in prints], "print binary"), 29, 64).distinct().collect()
+    assert len(got) < 3 * len(prints)  # a star for each key: over 16 times as many
+    number = {x.tobytes(): k for k, x in enumerate(prints)}
+    root = list(range(len(prints)))
+
+    def top(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for x in got:
+        a, b = sorted((top(number[bytes(x["a"])]), top(number[bytes(x["b"])])))
+        root[b] = a
+    assert [top(k) for k in range(len(prints))] == [0] * 400 + [400] * 2
+
+
+def test_stars_keep_components():
+    r = np.random.default_rng(5)
+    for n, m in ((1, 0), (50, 20), (200, 150), (300, 900)):
+        a, b = r.integers(0, n, m), r.integers(0, n, m)
+        prints = r.integers(0, 2**63, (n, simhash.WIDE)).astype(np.uint64)
+        def parts(pairs):
+            root = np.arange(n)
+            for _ in range(n):
+                for i, j in pairs:
+                    root[[i, j]] = min(root[i], root[j])
+            return root.tolist()
+        x, y = simhash.as_stars(a, b, prints)
+        assert parts(list(zip(a, b, strict=True))) == parts(list(zip(x, y, strict=True)))
+        assert len(set(y.tolist())) == len(y) == n - len(set(parts(list(zip(a, b, strict=True)))))
+    path = np.arange(5000)
+    assert len(simhash.as_stars(path[:-1], path[1:], r.permutation(5000).astype(np.uint64)[:, None])[0]) == 4999
+
+
 def test_golay_keys_meet():
     r = np.random.default_rng(2)
     a = r.integers(0, 2**63, 3000, dtype=np.int64).view(np.uint64)

@@ -207,6 +207,23 @@ def bucket_links(key: np.ndarray, who: np.ndarray, prints: np.ndarray, reach: in
     return both[0], both[1]
 
 
+def as_stars(a: np.ndarray, b: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of numbers that connect the same fingerprints (n, words) as the links a, b: of each component its least
+    fingerprint with each other one, which different buckets agree on, so that a group costs a pair for each member
+    and not one for each key."""
+    rank = np.empty(len(prints), np.int64)
+    rank[order := np.lexsort(prints.T)] = np.arange(len(prints))
+    a, b, root = rank[a], rank[b], np.arange(len(prints))
+    while len(a):  # the larger root of a link points to the smaller one, then all point to their roots
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (up := root[root] != root).any():
+            root = np.where(up, root[root], root)
+        a, b = root[a], root[b]
+        a, b = a[a != b], b[a != b]
+    far = np.flatnonzero(root != np.arange(len(root)))
+    return order[root[far]], order[far]
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, fp (the 64 bits as a signed long) for each row of docs(doc_id, text); a null text counts as empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,8 +290,9 @@ def wide_prints(docs: DataFrame, words: int) -> DataFrame:
 
 
 def wide_links(prints: DataFrame, reach: int, buckets: int) -> DataFrame:
-    """prints(print), distinct -> a, b: links that connect all fingerprints at most reach bits apart that share a key.
-    Rows are packed: a batch sends each bucket its fingerprints once, and keys that point to them."""
+    """prints(print), distinct -> a, b: pairs that connect all fingerprints which links of at most reach bits between
+    those that share a key connect. The links of a bucket leave it as stars, so that a large group has few pairs for
+    each of its members. Rows are packed: a batch sends each bucket its fingerprints once, and keys that point to them."""
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = np.frombuffer(b"".join(b.column("print").to_pylist()), np.uint64).reshape(-1, WIDE)
@@ -297,7 +315,7 @@ def wide_links(prints: DataFrame, reach: int, buckets: int) -> DataFrame:
                 n += len(prints[-1])
         if n:
             x = np.concatenate(prints)
-            a, b = bucket_links(np.concatenate(key), np.concatenate(who), x, reach)
+            a, b = as_stars(*bucket_links(np.concatenate(key), np.concatenate(who), x, reach), x)
             for at in range(0, len(a), CHUNK):
                 yield pa.RecordBatch.from_pydict({c: pa.array([y.tobytes() for y in x[i[at : at + CHUNK]]], pa.binary()) for c, i in (("a", a), ("b", b))})
 
