@@ -471,6 +471,27 @@ def test_slopes_of_the_network():
             x[k] = old
 
 
+def test_rounds_have_every_training_window_once(spark, monkeypatch):
+    """Also with several shards, and with texts of several pieces."""
+    r = np.random.default_rng(6)
+    monkeypatch.setattr(lm, "SHARD_WINDOWS", 40, raising=False)
+    monkeypatch.setattr(lm, "PIECE", 4, raising=False)
+    row = np.arange(1001)
+    texts = [np.append(r.integers(0, 1000, n), 1000).astype("<u2") for n in (0, 14, 15, 16, 31, 32, 33, 700, 64, 63, 128, 2000, 3, 3)]
+    windows = sum(-(-len(x) // lm.FRESH) for x in texts)
+    df = spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in enumerate(texts)], "tie long, ids binary")
+    assert lm.shards_of(windows) == 1
+    whole = lambda number, given, wanted: sorted((k == 0, x.tobytes(), y.tobytes()) for k, x, y in zip(number, given, wanted, strict=True))
+    want = whole(*lm.windowed([np.append(1000, x).astype(np.int64) for x in texts])[1:])
+    for size in (40, 10):
+        monkeypatch.setattr(lm, "SHARD_WINDOWS", size, raising=False)
+        got = lm.sampled(df, row, windows).collect()
+        assert {x["round"] for x in got} <= set(range(-1, lm.ROUNDS)) and {x["shard"] for x in got} == set(range(lm.shards_of(windows)))
+        for of in (lambda x: x["round"] >= 0, lambda x: x["round"] < 0):  # few windows: the rounds start from all of them
+            laid, own = lm.unpacked([(x["place"], x["start"], bytes(x["ids"])) for x in got if of(x)], row)
+            assert whole(laid.number[own], *laid.places(own)) == want
+
+
 def test_learning_helps_on_rows_kept_apart(spark):
     """On rows kept apart from the training rows (fold 1 of 7, which no setting was chosen on)."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where(util.fold(F.col("doc_id"), 7) != 2)
