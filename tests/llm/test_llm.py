@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter
 from types import SimpleNamespace
@@ -320,6 +321,40 @@ def test_repeats(spark, docs, monkeypatch, hot):
     assert got == repeats([(r["doc_id"], r["text"].encode()) for r in d.collect()])
 
 
+def test_exchanges_of_stored_tables_leave_the_disk(spark):
+    files = lambda: {x for x in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if x.endswith(".data")}
+    before = files()
+    kept = util.stored(spark.range(5000).withColumn("x", F.sha2(F.col("id").cast("string"), 256)).repartition(7, "x"), "dealt")
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"  # as before
+    until = time.time() + 10
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before
+    assert kept.count() == 5000
+
+
+def test_contexts_of_many_buckets_go_out_in_large_parts(spark):
+    """The exchange of contexts, with small batches and many buckets, as large tables have."""
+    rows = suffixdedup.keyed(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").coalesce(1))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch")}
+    at = suffixdedup.repeated_anchors(rows).where("pos is not null").groupBy("doc", "tie").agg(F.collect_list("pos").alias("at"))
+    rows = util.stored(rows.join(at, ["doc", "tie"]).coalesce(1), "rows")
+    try:
+        for key in before:
+            spark.conf.set(key, "50")
+        tracker, group = spark.sparkContext.statusTracker(), "contexts"
+        spark.sparkContext.setJobGroup(group, group)
+        suffixdedup.repeats(rows, np.zeros(0, np.uint64)).write.format("noop").mode("overwrite").save()
+        stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for key, x in before.items():
+            spark.conf.set(key, x)
+    store = spark.sparkContext._jsc.sc().statusStore()
+    n = sum(store.lastStageAttempt(s).shuffleWriteRecords() for s in stages)
+    assert 0 < n < 200  # of 20 batches and 50 buckets; a row for each bucket, and one of repeats for each batch
+
+
 def test_simhash(spark, docs):
     import xxhash
 
