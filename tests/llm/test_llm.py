@@ -484,6 +484,20 @@ def test_shares_of_all_ids_sum_to_one():
     assert np.exp(model.logs(np.repeat(z, 3000, 0), model.row, model.outputs())).sum() == pytest.approx(1, abs=1e-3)
 
 
+def test_windows_of_a_long_text_dont_stand_in_memory_together():
+    import tracemalloc
+
+    r = np.random.default_rng(8)
+    model = lm.Attention(r.integers(1, 9, 300), np.arange(300))
+    text = model.row[np.append(299, r.integers(0, 300, 1_000_000))]
+    tracemalloc.start()
+    try:
+        lm.score_texts(model, [text])
+        assert tracemalloc.get_traced_memory()[1] < 32 << 20  # all windows at once: 75 MB
+    finally:
+        tracemalloc.stop()
+
+
 def test_slopes_of_the_network():
     r = np.random.default_rng(5)
     model = lm.Attention(r.integers(0, 9, 60), np.arange(60))
