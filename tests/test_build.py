@@ -86,6 +86,21 @@ def test_files_to_dataset(spark, tmp_path):
     assert build.run_build(spark, docs, str(out), Config(), 6) == first
 
 
+def test_shards_hold_each_row_once_in_order(spark, tmp_path):
+    """Bounds of ranges are sampled, and a second evaluation samples others: rows got lost or went to another shard."""
+    rows = spark.range(30_000).select(F.col("id").alias("seq"), F.when(F.col("id") % 3 == 0, "train").when(F.col("id") % 3 == 1, "validation").otherwise("test").alias("split"), F.concat(F.lit("text "), "id").alias("chunk"))
+    rows = rows.repartition(8, F.xxhash64("seq"))
+    for name, cfg in (("docs", config.Dataset(shard_max_documents=70, shard_max_bytes=0)), ("bytes", config.Dataset(shard_max_documents=0, shard_max_bytes=2000)), ("none", config.Dataset(shard_max_documents=0, shard_max_bytes=0))):
+        build.write_shards(rows, str(tmp_path / name), Config(dataset=cfg))
+        for k, split in enumerate(("train", "validation", "test")):
+            files = [p.read_text().splitlines() for p in sorted((tmp_path / name / split).iterdir())]
+            assert [json.loads(x)["text"] for f in files for x in f] == [f"text {i}" for i in range(k, 30_000, 3)], (name, split)
+            sizes = [sum(len(x) + 1 for x in f) for f in files]
+            assert name != "docs" or [len(f) for f in files] == [70] * 142 + [60]
+            assert name != "bytes" or all(s < 2000 <= s + len(f[0]) + 1 for s, f in zip(sizes, files[1:]))
+            assert name != "none" or len(files) == 1
+
+
 def test_shared_folder_without_setting():
     def fake(master):
         return SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master, applicationId="app"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from textmill.config import Dataset, Filtering
 from textmill.functions.quality import token_estimate, word_count
 from textmill.functions.text import strip, text_of
+from textmill.session import materialized
 
 SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
 
@@ -98,17 +99,17 @@ def sequence_split(df: DataFrame, seq: str = "seq", cfg: Dataset = Dataset()) ->
 
 
 def shards(df: DataFrame, seq: str = "seq", cfg: Dataset = Dataset()) -> DataFrame:
-    """Adds shard by the document limit: rows of a split in seq order, numbered per range first, so that no task
-    holds a whole split."""
+    """Adds place (from 0, of a row in its split, in seq order) and shard by the document limit. Rows are numbered per
+    range first, so that no task holds a whole split. The ranges are stored: their bounds come from a sample, which
+    differs from one evaluation to the next. Other columns of df are stored too, so that it should have few."""
     parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = df.repartitionByRange(parts, "split", seq).withColumn("_p", F.spark_partition_id())
-    ranged = ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_p", "split").orderBy(seq)))
-    sizes = ranged.groupBy("split", "_p").agg(F.count("*").alias("_n"))
+    ranged = df.repartitionByRange(parts, "split", seq).sortWithinPartitions("split", seq).withColumn("_id", F.monotonically_increasing_id())
+    ranged = materialized(ranged, "ranges").withColumn("_p", F.shiftright("_id", 33))
+    sizes = ranged.groupBy("split", "_p").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
     before = sizes.withColumn("_b", F.sum("_n").over(Window.partitionBy("split").orderBy("_p")) - F.col("_n")).drop("_n")
-    out = ranged.join(F.broadcast(before), ["split", "_p"])
+    out = ranged.join(F.broadcast(before), ["split", "_p"]).withColumn("place", F.col("_b") + F.col("_id") - F.col("_first"))
     limit = cfg.shard_max_documents
-    place = F.col("_b") + F.col("_r") - 1
-    return out.withColumn("shard", F.floor(place / limit) if limit > 0 else F.lit(0).cast("long")).drop("_p", "_r", "_b")
+    return out.withColumn("shard", F.floor(F.col("place") / limit) if limit > 0 else F.lit(0).cast("long")).drop("_p", "_id", "_b", "_first")
 
 
 def leaks(df: DataFrame, text: str = "text", split: str = "split") -> DataFrame:
