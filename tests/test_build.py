@@ -1,5 +1,6 @@
 import json
 import random
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -9,6 +10,7 @@ from textmill import cli, config, session
 from textmill.config import Config
 from textmill.operators import dataset, dedup, verify
 from textmill.plans import build
+from textmill.sources import files
 from textmill.sources.files import discover, read_documents
 
 TR = "Bugün hava çok güzel ve insanlar bu yüzden dışarı çıkıp yeni bir gün için sahilde yürümek istiyor. "
@@ -55,6 +57,22 @@ def test_large_files_follow_the_same_rules(spark, tmp_path):
     assert len(rest) == 4 and all(r[3] is None and "too large" in r[7] for r in rest)
 
 
+def test_files_over_a_bound_are_read_by_line(spark, tmp_path, monkeypatch):
+    """Whole files of records filled a worker's memory; several large ones share one plan, whatever their names."""
+    for name, kind in (("a b+c%20[1].csv", ","), ("d{e}.tsv", "\t"), ("f.csv", ",")):
+        (tmp_path / name).write_text(f"n{kind}text\n" + "".join(f'{i}{kind}"{name} line\n{i}"\n' for i in range(900)))
+    for name in ("g+h.jsonl", "i j.jsonl"):
+        (tmp_path / name).write_text("".join(json.dumps({"text": f"{name} {i}"}) + "\n" for i in range(900)))
+    get = lambda: read_documents(spark, str(tmp_path)).select("source_file", "line_number", "doc_id", "text", "file_type", "metadata", "field_used", "error")
+    whole = sorted(get().collect())
+    monkeypatch.setattr(files, "LINED", 5000)
+    lined = get()
+    assert sorted(lined.collect()) == whole and len(whole) == 4500
+    plan = lined._jdf.queryExecution().toString()
+    assert plan.count("Union") <= 8 and "FileScan text" in plan
+    assert {r["source_file"].rsplit("/", 1)[1] for r in whole} == {p.name for p in tmp_path.iterdir()}
+
+
 def test_chunks():
     assert dataset.chunked("", 10) == [] and dataset.chunked("abc", 10) == ["abc"]
     text = "aaa. bbb. ccc.\n\ndddd\n\n" + "e" * 30

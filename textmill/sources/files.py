@@ -11,6 +11,7 @@ import hashlib
 import io
 import itertools
 import json
+import re
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -25,15 +26,21 @@ TYPES = {
     ".tsv": "tsv", ".xml": "xml", ".html": "html", ".htm": "html", ".yaml": "yaml", ".yml": "yaml", ".pdf": "pdf",
 }
 ENCODINGS = ("utf-8", "windows-1254", "iso-8859-9")
+#: JSONL, CSV and TSV files of more bytes are read line by line.
+LINED = 8 << 20
 WHOLE = ("txt", "markdown", "html", "xml", "yaml")
 RECORD = "source_file string, file_type string, line_number int, text string, record string, metadata string, error string"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+
+
 def discover(spark: SparkSession, path: str) -> DataFrame:
     """path, file_type, size_bytes, supported, skip_reason; only names and sizes are read. A missing path has none; names
     that begin with _ or a full stop are hidden files to Spark and have no row."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath):
+    if not exists(spark, path):
         return spark.createDataFrame([], "path string, file_type string, size_bytes long, supported boolean, skip_reason string")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     ext = F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))
@@ -128,16 +135,43 @@ def lines_within(data: bytes) -> list[bytes]:
     return data.removesuffix(b"\r").split(b"\r")
 
 
-def read_large(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """RECORD of a JSONL, CSV or TSV file of any size, by the rules of records(). JSONL is read in splits: a first pass
-    counts lines and tries the encodings. Quotes of a table may span lines, so that one task reads it, as a stream."""
-    lines = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("data"))
+def read_lined(spark: SparkSession, files: list[tuple[str, str]]) -> DataFrame:
+    """RECORD of JSONL, CSV and TSV files (path, kind) of any size, by the rules of records(), all in one plan. JSONL is
+    read in splits: a first pass counts lines and tries the encodings. Quotes of a table may span lines, so that one task
+    reads each file of the others, as a stream."""
+    out = spark.createDataFrame([], RECORD)
+    for jsonl in (True, False):
+        own = [x for x in files if (x[1] == "jsonl") == jsonl]
+        if own:
+            out = out.unionByName((read_jsonl if jsonl else read_tables)(spark, own))
+    return out
+
+
+def lines_of(spark: SparkSession, files: list[tuple[str, str]]) -> DataFrame:
+    """of (the number of the file in the list), start of the split, and data of each line."""
+    rows = spark.read.option("lineSep", "\n").text([plain(p) for p, _ in files])
+    rows = rows.select(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("path"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("data"))
+    names = spark.createDataFrame([(k, local(p)) for k, (p, _) in enumerate(files)], "of int, path string")
+    return rows.withColumn("path", F.regexp_replace("path", r"^file:/+", "/")).join(F.broadcast(names), "path").select("of", "start", "data")
+
+
+def plain(path: str) -> str:
+    """path without a meaning as a pattern."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
+def local(path: str) -> str:
+    return re.sub(r"^file:/+", "/", path)
+
+
+def read_jsonl(spark: SparkSession, files: list[tuple[str, str]]) -> DataFrame:
+    lines = lines_of(spark, files)
 
     def survey(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count: dict[int, list] = {}
+        count: dict[tuple[int, int], list] = {}
         for pdf in it:
-            for start, data in zip(pdf["start"].tolist(), pdf["data"], strict=True):
-                x = count.setdefault(start, [0, *[True] * len(ENCODINGS)])
+            for of, start, data in zip(pdf["of"].tolist(), pdf["start"].tolist(), pdf["data"], strict=True):
+                x = count.setdefault((of, start), [0, *[True] * len(ENCODINGS)])
                 x[0] += len(lines_within(bytes(data)))
                 for k, name in enumerate(ENCODINGS):
                     if x[k + 1]:
@@ -145,65 +179,77 @@ def read_large(spark: SparkSession, path: str, kind: str) -> DataFrame:
                             bytes(data).decode(name)
                         except UnicodeDecodeError:
                             x[k + 1] = False
-        yield pd.DataFrame([(s, x[0], x[1:]) for s, x in count.items()], columns=["start", "n", "fits"])
+        yield pd.DataFrame([(*s, x[0], x[1:]) for s, x in count.items()], columns=["of", "start", "n", "fits"])
 
     def parse(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows() -> Iterator[tuple]:
-            at: dict[int, int] = {}
+            at: dict[tuple[int, int], int] = {}
             for pdf in it:
-                for start, data in zip(pdf["start"].tolist(), pdf["data"], strict=True):
+                for of, start, data in zip(pdf["of"].tolist(), pdf["start"].tolist(), pdf["data"], strict=True):
+                    path, kind = files[of]
                     for x in lines_within(bytes(data)):
-                        at[start] = at.get(start, first[start]) + 1
-                        text = x.decode(name or "utf-8", "strict" if name else "replace")
+                        at[of, start] = at.get((of, start), first[of, start]) + 1
+                        text = x.decode(name[of] or "utf-8", "strict" if name[of] else "replace")
                         if text.strip():
-                            for line, own, record, meta, error in json_records(text, at[start], kind):
+                            for line, own, record, meta, error in json_records(text, at[of, start], kind):
                                 yield path, kind, line, own, record, json.dumps(meta), error
 
         yield from framed(rows())
 
-    def stream(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        text = ((bytes(x) + b"\n").decode("utf-8", "replace") for pdf in it for x in pdf["data"])
-        whole = (y for x in text for y in io.StringIO(x, newline=""))
-        yield from framed((path, kind, line, own, record, json.dumps(meta), error) for line, own, record, meta, error in table_records(whole, kind))
-
-    if kind != "jsonl":
-        return lines.withColumn("at", F.monotonically_increasing_id()).repartition(1).sortWithinPartitions("start", "at").select("data").mapInPandas(stream, RECORD)
-    first, total, fits = {}, 0, [True] * len(ENCODINGS)
-    for r in sorted(lines.mapInPandas(survey, "start long, n long, fits array<boolean>").collect()):
-        first[r["start"]], total = total, total + r["n"]
-        fits = [a and b for a, b in zip(fits, r["fits"], strict=True)]
-    name = next((e for e, ok in zip(ENCODINGS, fits, strict=True) if ok), None)
+    first, total, fits = {}, [0] * len(files), [[True] * len(ENCODINGS) for _ in files]
+    for r in sorted(lines.mapInPandas(survey, "of int, start long, n long, fits array<boolean>").collect()):
+        of = r["of"]
+        first[of, r["start"]], total[of] = total[of], total[of] + r["n"]
+        fits[of] = [a and b for a, b in zip(fits[of], r["fits"], strict=True)]
+    name = [next((e for e, ok in zip(ENCODINGS, x, strict=True) if ok), None) for x in fits]
     return lines.mapInPandas(parse, RECORD)
 
 
+def read_tables(spark: SparkSession, files: list[tuple[str, str]]) -> DataFrame:
+    def stream(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = ((of, bytes(x)) for pdf in it for of, x in zip(pdf["of"].tolist(), pdf["data"], strict=True))
+        for of, own in itertools.groupby(rows, lambda r: r[0]):
+            path, kind = files[of]
+            text = ((x + b"\n").decode("utf-8", "replace") for _, x in own)
+            whole = (y for x in text for y in io.StringIO(x, newline=""))
+            yield from framed((path, kind, line, text, record, json.dumps(meta), error) for line, text, record, meta, error in table_records(whole, kind))
+
+    lines = lines_of(spark, files).withColumn("at", F.monotonically_increasing_id())
+    return lines.repartitionById(len(files), F.col("of")).sortWithinPartitions("of", "start", "at").select("of", "data").mapInPandas(stream, RECORD)
+
+
 def read_documents(spark: SparkSession, path: str, field: str | None = None, size_limit: int = 2**31 - 1) -> DataFrame:
     """doc_id, source_file, file_type, line_number, text, metadata, field_used, error for all supported files.
 
-    Files beyond size_limit, the most that a binary value holds, are read line by line if they are JSONL, CSV or TSV;
-    others, whose record may not fit into a value either, become a row with an error.
+    JSONL, CSV and TSV files beyond LINED are read line by line, which bounds the memory of a worker. Others beyond
+    size_limit, the most that a binary value holds, become a row with an error, since their record may not fit into a
+    value either.
     """
-    found = discover(spark, path)
     empty = spark.createDataFrame([], RECORD)
-    if found.isEmpty():
+    if not exists(spark, path):
         return finish(empty, field)
+    bound = min(size_limit, LINED)
+    large = [tuple(r) for r in discover(spark, path).where(F.col("supported") & (F.col("size_bytes") > bound)).select("path", "file_type", "size_bytes").collect()]
 
     def read(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             for p, kind, data in zip(pdf["path"], pdf["file_type"], pdf["content"], strict=True):
                 yield from framed((p, kind, line, text, record, json.dumps(meta), error) for line, text, record, meta, error in records(bytes(data), kind))
 
-    kinds = F.create_map(*[F.lit(x) for kv in TYPES.items() for x in kv])
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    files = files.select("path", F.try_element_at(kinds, F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))).alias("file_type"), "length", "content").where("file_type is not null")
-    small = files.where(F.col("length") <= size_limit).select("path", "file_type", "content").mapInPandas(read, RECORD)
-    large = found.where(F.col("supported") & (F.col("size_bytes") > size_limit))
-    lined = F.col("file_type").isin("jsonl", "csv", "tsv")
-    for r in large.where(lined).collect():
-        small = small.unionByName(read_large(spark, r["path"], r["file_type"]))
-    null = F.lit(None).cast("string")
-    error = F.concat(F.lit("file of "), F.col("size_bytes").cast("string"), F.lit(" bytes is too large to read whole"))
-    small = small.unionByName(large.where(~lined).select(F.col("path").alias("source_file"), "file_type", F.lit(None).cast("int").alias("line_number"), null.alias("text"), null.alias("record"), F.lit("{}").alias("metadata"), error.alias("error")))
-    return finish(small, field)
+    def whole(most: int, *paths: str) -> DataFrame:  # a plain limit of length reaches the scan, which doesn't open longer files
+        kinds = F.create_map(*[F.lit(x) for kv in TYPES.items() for x in kv])
+        rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths)).where(F.col("length") <= most)
+        rows = rows.select("path", F.try_element_at(kinds, F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))).alias("file_type"), "content")
+        return rows.where("file_type is not null").mapInPandas(read, RECORD)
+
+    out, lined = whole(bound, path), ("jsonl", "csv", "tsv")
+    if several := [plain(p) for p, k, n in large if k not in lined and n <= size_limit]:
+        out = out.unionByName(whole(size_limit, *several))
+    if by_line := [(p, k) for p, k, _ in large if k in lined]:
+        out = out.unionByName(read_lined(spark, by_line))
+    if rest := [(p, k, None, None, None, "{}", f"file of {n} bytes is too large to read whole") for p, k, n in large if k not in lined and n > size_limit]:
+        out = out.unionByName(spark.createDataFrame(rest, RECORD))
+    return finish(out, field)
 
 
 def finish(rows: DataFrame, field: str | None) -> DataFrame:
