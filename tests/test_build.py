@@ -73,6 +73,18 @@ def test_files_over_a_bound_are_read_by_line(spark, tmp_path, monkeypatch):
     assert {r["source_file"].rsplit("/", 1)[1] for r in whole} == {p.name for p in tmp_path.iterdir()}
 
 
+def test_page_files_share_folders(spark, tmp_path):
+    """A folder for each page, each listed and renamed by the driver, took more than all else."""
+    from textmill import file_queries
+
+    spark.range(1000).select(F.col("id").alias("page_id"), F.concat(F.lit("<p>é"), "id").alias("html")).write.parquet(str(tmp_path / "pages.parquet"))
+    at = Path(file_queries._pages(spark, str(tmp_path)))
+    assert len(list(at.iterdir())) <= 256
+    found = [p for p in at.rglob("*") if p.is_file()]
+    assert sorted(int(p.name.split("=")[1].split(".")[0]) for p in found) == list(range(1000))
+    assert all(p.read_text(encoding="utf-8") == f"<p>é{p.name.split('=')[1].split('.')[0]}\n" for p in found)
+
+
 def test_chunks():
     assert dataset.chunked("", 10) == [] and dataset.chunked("abc", 10) == ["abc"]
     text = "aaa. bbb. ccc.\n\ndddd\n\n" + "e" * 30

@@ -7,7 +7,9 @@ import json
 import random
 import re
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from textmill.operators import dataset, verify
 from textmill.plans import build
 from textmill.plans.reports import COPIES, QUALITY, write_reports
 from textmill.queries import _CLEANED, _COUNTS, _FATE, _HASH, ORACLES, _fates, _near, _S, _space, _strip, docs, query
-from textmill.session import shared_dir
+from textmill.session import shared_dir, spread
 from textmill.sources.files import discover, file_totals, read_documents
 from textmill.streaming import incremental
 
@@ -88,10 +90,25 @@ _PAGE = "replace(replace(html, chr(13) || chr(10), chr(10)), chr(13), chr(10)) |
 
 
 def _pages(spark: SparkSession, d: str) -> str:
-    """A file for each page, in a folder of its own."""
+    """A file for each page, written by the executors, in 256 folders at most: a listing of one folder for each page
+    and renames by the driver took most of the time."""
     at = folder(spark, "pages")
-    spark.read.parquet(f"{d}/pages.parquet").select("page_id", "html").repartition(8, "page_id").write.partitionBy("page_id").text(at)
-    return with_ending(spark, at, lambda x: _ENDINGS[int(x.split("=")[1]) % len(_ENDINGS)][0])
+
+    def write(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import os
+
+        for pdf in it:
+            for page_id, page in zip(pdf["page_id"].tolist(), pdf["html"], strict=True):
+                os.makedirs(own := f"{at}/{page_id % 256}", exist_ok=True)
+                name = f"page_id={page_id}{_ENDINGS[page_id % len(_ENDINGS)][0]}"
+                with open(tmp := f"{own}/.{name}.{uuid.uuid4().hex}", "wb") as f:
+                    f.write(bytes(page) + b"\n")
+                os.replace(tmp, f"{own}/{name}")
+            yield pdf[["page_id"]]
+
+    pages = spread(spark.read.parquet(f"{d}/pages.parquet")).select(F.col("page_id").cast("long"), T.text_of(F.col("html")).cast("binary").alias("html"))
+    pages.mapInPandas(write, "page_id long").count()
+    return at
 
 
 def _page_id(c: str) -> Column:
