@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,3 +59,23 @@ def test_record_fields(spark):
     assert at('{"question": null, "answer": null}')["text"] == "Soru: \nCevap:"
     assert at('{"zz": "a string of more than twenty", "aa": "another one of more than twenty"}')["field"] == "zz"
     assert at("[1]") is None and at("{bad") is None
+
+
+def test_white_space_by_set_and_by_class(spark):
+    """The set that strip() takes off has the characters of the class, and even_space() gives what its plain steps give."""
+    chars = spark.createDataFrame([(chr(k),) for k in range(1, 0x3100) if not 0xD800 <= k < 0xE000], "c string")
+    assert {r["c"] for r in chars.where(F.col("c").rlike(rf"\A{T.SPACE}\z")).collect()} == set(T.SPACES)
+    r = random.Random(9)
+    rows = spark.createDataFrame([("".join(r.choices(["a", " ", "\t", "\n", "\r", "\xa0", "\x1c", "\u2003", "b c"], k=r.randint(0, 14))),) for _ in range(4000)], "t string")
+    x = F.regexp_replace(F.regexp_replace("t", r"\r\n?", "\n"), r"[ \t]+", " ")
+    x = F.regexp_replace(F.regexp_replace(x, rf"{T.SPACE_IN_LINE}+(?=\n|\z)", ""), rf"(\A|\n){T.SPACE_IN_LINE}+", "$1")
+    x = F.regexp_replace(F.regexp_replace(x, r"\n{3,}", "\n\n"), rf"\A{T.SPACE}+|{T.SPACE}+\z", "")
+    assert rows.where(x != T.even_space(F.col("t"))).count() == 0
+
+
+def test_two_words_again_and_again(spark):
+    """Decided from whole words of the start, and from all words where those are two at most."""
+    texts = ["ab cd " * 60, "ab cd " * 49 + "ab cdx", "ab cd " * 60 + "ef", "a " * 149 + "abc" * 30, "x" * 400 + " y" * 12, "x" * 290 + " y" * 12, "one two three " * 40, "ab cd " * 5]
+    got = [r[0] for r in spark.createDataFrame([(k, x) for k, x in enumerate(texts)], "k int, t string").orderBy("k").select(Q.junk_reason(F.col("t"), 1000)).collect()]
+    want = ["REPEATED_WORD_SPAM" if len(x.split()) > 10 and len(set(x.split())) <= 2 else "" for x in texts]
+    assert got == want and want.count("") == 4
