@@ -326,11 +326,12 @@ def incremental_kept(spark, d):
 
 @query
 def stream_kept(spark, d):
+    """The stream runs once for each batch that has come, and takes its files as one micro-batch."""
     at = folder(spark, "stream")
-    for k in range(3):  # files come in the order of their times
-        _batch(spark, d, k).coalesce(1).write.mode("append").parquet(f"{at}/in")
-    source = spark.readStream.schema("seq long, text string").option("maxFilesPerTrigger", 1).parquet(f"{at}/in")
-    incremental.stream(source, f"{at}/state", f"{at}/out", f"{at}/offsets").awaitTermination()
+    for k in range(3):
+        _batch(spark, d, k).write.mode("append").parquet(f"{at}/in")
+        source = spark.readStream.schema("seq long, text string").parquet(f"{at}/in")
+        incremental.stream(source, f"{at}/state", f"{at}/out", f"{at}/offsets").awaitTermination()
     return spark.read.parquet(f"{at}/out").select(F.col("seq").alias("doc_id"), "norm_hash")
 
 
